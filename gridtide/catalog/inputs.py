@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtide.functions.temporal import hour_floor
+from gridtide.functions.temporal import compact_text, hour_floor, iso_text
 from gridtide.operators import market, weather
 from gridtide.plans.views import Tables
+from gridtide.schemas import MARKET_CLEAN, MARKET_RECORD, WEATHER_RECORD, conform
 
 DAY = "2024-01-15"
 FIRST_DAY = "2024-01-01"
@@ -216,3 +217,181 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
         "fact_hourly_weather": observed,
         "agg_daily_bidding_zone": weather.daily_bidding_zone(observed),
     }
+
+
+# --- landed and cleaned shapes of the same readings ----------------------------
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """Add a text that names the line item a reading comes from."""
+    parts = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    return df.withColumn("line_id", F.concat_ws("-", *[F.col(p).cast("string") for p in parts]))
+
+
+def market_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed market records: one per line item, some without data, time or product code."""
+    readings = _numbered(generation_readings(spark, sf_dir))
+    # Lines of an order land one after another in the early hours of the next day.
+    landed = F.timestamp_add(
+        "HOUR", F.col("l_linenumber"), F.date_add("event_date", 1).cast("timestamp_ntz")
+    )
+    no_time = F.when(F.col("l_tax") == 0.07, F.lit("")).otherwise(iso_text("timestamp_utc"))
+    status = F.when(F.col("l_tax") == 0.0, "no_data").otherwise("ok")
+    blank_product = F.when(F.col("technology") == "fossil_gas", F.lit(""))
+    made = readings.withColumns(
+        {
+            "timestamp_utc": no_time,
+            "ingested_at": iso_text(landed),
+            "dataset": F.lit("actual_generation_per_production_type"),
+            "area_code": F.col("area_code").cast("string"),
+            "document_mrid": F.col("line_id"),
+            "document_type": F.lit("A75"),
+            "psr_type": blank_product.otherwise(F.col("psr_type")),
+            "quantity_mw": F.col("quantity_mw") / 7,
+            "value_type": F.lit("quantity"),
+            "in_domain": F.col("area_code").cast("string"),
+            "out_domain": F.lit(""),
+            "status": status,
+        }
+    )
+    return conform(made, MARKET_RECORD)
+
+
+def weather_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed weather records: one per event."""
+    readings = weather_readings(spark, sf_dir).withColumns(
+        {
+            "current_time": F.concat(
+                F.substring(iso_text("observation_timestamp_utc"), 1, 19), F.lit("+00:00")
+            ),
+            "ingested_at": F.concat(
+                F.translate(F.col("ingested_at").cast("string"), " ", "T"), F.lit("+00:00")
+            ),
+            "dataset": F.lit("current"),
+            "temperature_2m": F.col("temperature_2m") / 7,
+        }
+    )
+    return conform(readings, WEATHER_RECORD)
+
+
+def clean_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned generation and load readings of three datasets; some lack a day."""
+    generation = generation_readings(spark, sf_dir).withColumns(
+        {
+            "dataset": F.lit("actual_generation_per_production_type"),
+            "event_date": F.when(F.col("l_tax") != 0.08, F.col("event_date")),
+        }
+    )
+    load = load_readings(spark, sf_dir)
+    return conform(generation, MARKET_CLEAN).unionByName(conform(load, MARKET_CLEAN))
+
+
+def _element(tag: str, *content: Column) -> Column:
+    """XML element; the mark stands for the namespace prefix set later."""
+    return F.concat(F.lit(f"<§{tag}>"), *content, F.lit(f"</§{tag}>"))
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A market document per line item, built from the row alone.
+
+    The tax rate decides its kind: acknowledgement, document without points,
+    other root, cut-off text, or readings.  Open orders use a namespace prefix.
+    """
+    rows = _numbered(generation_readings(spark, sf_dir))
+    minute = F.concat(F.substring(iso_text("timestamp_utc"), 1, 16), F.lit("Z"))
+    points = F.transform(
+        F.sequence(F.lit(1), F.col("l_linenumber")),
+        lambda n: _element(
+            "Point",
+            _element("position", n.cast("string")),
+            _element("quantity", (F.col("quantity_mw") + n).cast("string")),
+        ),
+    )
+    period = _element(
+        "Period",
+        _element("timeInterval", _element("start", minute), _element("end", F.col("period_end"))),
+        _element("resolution", F.col("resolution")),
+        F.array_join(points, ""),
+    )
+    business = F.when(F.col("business_type_label") == "consumption", "A04").otherwise("A01")
+    generation = _element(
+        "TimeSeries",
+        _element("mRID", F.lit("1")),
+        _element("businessType", business),
+        _element("objectAggregation", F.lit("A08")),
+        F.lit('<§inBiddingZone_Domain.mRID codingScheme="A01">'),
+        F.col("area_code").cast("string"),
+        F.lit("</§inBiddingZone_Domain.mRID>"),
+        _element("quantity_Measure_Unit.name", F.col("unit")),
+        _element("MktPSRType", _element("psrType", F.col("psr_type"))),
+        period,
+    )
+    position = F.when(F.col("business_type_label") == "consumption", "first").otherwise("1")
+    price = _element(
+        "TimeSeries",
+        _element("mRID", F.lit("2")),
+        _element("currency_Unit.name", F.col("currency_unit")),
+        _element(
+            "Period",
+            _element("timeInterval", _element("start", F.col("period_start"))),
+            _element("resolution", F.lit("PT60M")),
+            _element(
+                "Point",
+                _element("position", position),
+                _element("price.amount", F.col("l_extendedprice").cast("string")),
+            ),
+        ),
+    )
+    head = F.concat(
+        _element("mRID", F.col("line_id")),
+        _element("revisionNumber", F.lit("1")),
+        _element("type", F.lit("A75")),
+        _element("process.processType", F.col("process_type")),
+        _element("createdDateTime", iso_text("ingested_at")),
+        _element(
+            "time_Period.timeInterval",
+            _element("start", F.col("period_start")),
+            _element("end", F.col("period_end")),
+        ),
+    )
+    empty = _element(
+        "TimeSeries",
+        _element("mRID", F.lit("1")),
+        _element("Period", _element("resolution", F.lit("PT60M"))),
+    )
+    reason = _element(
+        "Reason", _element("code", F.lit("999")), _element("text", F.lit("No matching data"))
+    )
+    created = _element("createdDateTime", iso_text("ingested_at"))
+    whole = _element("GL_MarketDocument", head, generation, price)
+    tax = F.col("l_tax")
+    body = (
+        F.when(tax == 0.0, _element("Acknowledgement_MarketDocument", created, reason))
+        .when(tax == 0.01, _element("GL_MarketDocument", head, empty))
+        .when(tax == 0.02, _element("Publication_MarketDocument", head))
+        .when(tax == 0.03, F.concat(F.lit("<§GL_MarketDocument>"), head, F.lit("<§TimeS")))
+        .otherwise(whole)
+    )
+    prefixed = F.col("process_type") == "A16"
+    declared = F.regexp_replace(
+        body,
+        "^<§(\\w+)>",
+        F.when(prefixed, F.lit('<§$1 xmlns:ns0="urn:market">')).otherwise(
+            F.lit('<§$1 xmlns="urn:market">')
+        ),
+    )
+    text = F.replace(declared, F.lit("§"), F.when(prefixed, F.lit("ns0:")).otherwise(F.lit("")))
+    return rows.select(
+        "line_id",
+        iso_text("ingested_at").alias("ingested_at"),
+        F.lit("actual_generation_per_production_type").alias("dataset"),
+        "country_code",
+        "country",
+        F.col("area_code").cast("string").alias("area_code"),
+        "area_name",
+        compact_text("timestamp_utc").alias("request_period_start"),
+        compact_text(F.timestamp_add("HOUR", F.lit(1), F.col("timestamp_utc"))).alias(
+            "request_period_end"
+        ),
+        F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?>\n'), text).alias("xml"),
+    )

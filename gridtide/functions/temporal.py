@@ -35,6 +35,8 @@ def utc_from_text(text: Column | str) -> Column:
     Accepts minutes without seconds, any offset, and no offset (read as UTC).
     """
     text = F.trim(as_column(text))
+    # A bare time of day is no instant, though a cast would read it as today's.
+    dated = text.rlike(r"^\d{4}-\d{2}-\d{2}($|[T ]\d)")
     with_seconds = F.regexp_replace(text, r"^([^T ]+[T ]\d{2}:\d{2})(?=$|Z|[+-])", "$1:00")
     has_offset = text.rlike(r"[T ].*(Z|[+-]\d{2}:?\d{2})$")
     zoned = F.when(has_offset, with_seconds).otherwise(
@@ -42,7 +44,7 @@ def utc_from_text(text: Column | str) -> Column:
             F.concat(with_seconds, F.lit("T00:00:00Z"))
         )
     )
-    return utc_from_instant(zoned.try_cast("timestamp"))
+    return utc_from_instant(F.when(dated, zoned).try_cast("timestamp"))
 
 
 def hour_floor(ts: Column | str) -> Column:
