@@ -7,6 +7,8 @@ line item, order or event, so the work of every query grows with the tables.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -204,19 +206,43 @@ def fact_hourly_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weather.fact_hourly_weather(weather_readings(spark, sf_dir), tiebreak=WEATHER_TIES)
 
 
+class LazyTables(Mapping):
+    """Tables by name, planned on first use, so a report plans only what it reads."""
+
+    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]) -> None:
+        self._builders = builders
+        self._planned: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._planned:
+            self._planned[name] = self._builders[name]()
+        return self._planned[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """All seven analysis tables as plans; nothing runs until a report is used."""
-    generation = fact_generation(spark, sf_dir)
-    observed = fact_hourly_weather(spark, sf_dir)
-    return {
-        "fact_generation": generation,
-        "fact_load": fact_load(spark, sf_dir),
-        "fact_prices": fact_prices(spark, sf_dir),
-        "fact_generation_forecast": fact_generation_forecast(spark, sf_dir),
-        "agg_daily_generation_mix": market.daily_generation_mix(generation),
-        "fact_hourly_weather": observed,
-        "agg_daily_bidding_zone": weather.daily_bidding_zone(observed),
-    }
+    """All seven analysis tables over the readings."""
+    made = LazyTables(
+        {
+            "fact_generation": lambda: fact_generation(spark, sf_dir),
+            "fact_load": lambda: fact_load(spark, sf_dir),
+            "fact_prices": lambda: fact_prices(spark, sf_dir),
+            "fact_generation_forecast": lambda: fact_generation_forecast(spark, sf_dir),
+            "agg_daily_generation_mix": lambda: market.daily_generation_mix(
+                made["fact_generation"]
+            ),
+            "fact_hourly_weather": lambda: fact_hourly_weather(spark, sf_dir),
+            "agg_daily_bidding_zone": lambda: weather.daily_bidding_zone(
+                made["fact_hourly_weather"]
+            ),
+        }
+    )
+    return made
 
 
 # --- landed and cleaned shapes of the same readings ----------------------------

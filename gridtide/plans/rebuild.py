@@ -61,23 +61,42 @@ def _written(spark: SparkSession, root: str, name: str, days: list[str]) -> Data
 
 
 def rebuild_market(
-    spark: SparkSession, clean: str, root: str, days: Iterable[str] | None = None
+    spark: SparkSession,
+    clean: str,
+    root: str,
+    days: Iterable[str] | None = None,
+    changed: Iterable[str] | None = None,
 ) -> dict[str, int]:
-    """Rebuild the five market tables; returns rows written per table."""
+    """Rebuild the market tables; returns rows written per table.
+
+    ``changed`` names datasets with new data and leaves out tables that use
+    none of them.  A table that is rebuilt reads all its datasets, since its
+    days are replaced as a whole.
+    """
     days = [str(day) for day in (days or [yesterday()])]
+    changed = None if changed is None else set(changed)
     counts = {}
     for name, (datasets, build) in MARKET_FACTS.items():
-        readings = read_table(spark, clean, MARKET_CLEAN, days, datasets)
-        counts[name] = _overwrite(root, name, build(readings))
-    mix = market.daily_generation_mix(_written(spark, root, "fact_generation", days))
-    counts["agg_daily_generation_mix"] = _overwrite(root, "agg_daily_generation_mix", mix)
+        if changed is None or changed & set(datasets):
+            readings = read_table(spark, clean, MARKET_CLEAN, days, datasets)
+            counts[name] = _overwrite(root, name, build(readings))
+    if "fact_generation" in counts:
+        mix = market.daily_generation_mix(_written(spark, root, "fact_generation", days))
+        counts["agg_daily_generation_mix"] = _overwrite(root, "agg_daily_generation_mix", mix)
     return counts
 
 
 def rebuild_weather(
-    spark: SparkSession, clean: str, root: str, days: Iterable[str] | None = None
+    spark: SparkSession,
+    clean: str,
+    root: str,
+    days: Iterable[str] | None = None,
+    changed: Iterable[str] | None = None,
 ) -> dict[str, int]:
-    """Rebuild the two weather tables; returns rows written per table."""
+    """Rebuild the two weather tables; returns rows written per table.
+
+    Weather is one dataset, so ``changed`` makes no difference here.
+    """
     days = [str(day) for day in (days or [yesterday()])]
     observations = read_table(spark, clean, WEATHER_CLEAN, days)
     counts = {}
