@@ -25,77 +25,82 @@ LOAD_TIES = ["o_orderkey"]
 WEATHER_TIES = ["event_id"]
 
 
+# The declared columns save a look into the files before every query.
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double,"
+    " c_mktsegment string",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int,"
+    " p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int,"
+    " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+    " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double,"
+    " props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _hours_on(hours: Column) -> Column:
-    start = F.lit(f"{FIRST_DAY} 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_add("HOUR", hours, start)
+def _with_nation(rows: DataFrame, nation_key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Add nation and region names to rows that carry the key of a nation."""
+    nation = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey")
+    )
+    return rows.join(nation, F.expr(f"{nation_key} = n_nationkey"))
 
 
-def _choice(value: Column, *labels: str) -> Column:
-    """Label by the position of the value; the last label takes the rest."""
-    chain = F.when(value == 0, F.lit(labels[0]))
-    for position, label in enumerate(labels[1:-1], start=1):
-        chain = chain.when(value == position, F.lit(label))
-    return chain.otherwise(F.lit(labels[-1]))
+_AREA = [
+    "r_name AS country_code",
+    "r_name AS country",
+    "CAST(n_nationkey AS BIGINT) AS area_code",
+    "n_name AS area_name",
+]
 
 
-def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        "n_nationkey", "n_name", "r_name"
-    )
+def _hours_on(hours: str) -> str:
+    return f"timestampadd(HOUR, {hours}, TIMESTAMP_NTZ'{FIRST_DAY} 00:00:00')"
 
 
 def generation_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A generation, forecast and price reading per line item."""
-    lines = table(spark, sf_dir, "lineitem")
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_size")
     joined = (
-        lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(_nations(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+        table(spark, sf_dir, "lineitem")
+        .join(table(spark, sf_dir, "supplier"), F.expr("l_suppkey = s_suppkey"))
+        .join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
     )
-    time = _hours_on((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 720)
-    kind = F.col("p_size") % 4
-    return joined.select(
-        F.to_date(time).alias("event_date"),
-        time.alias("timestamp_utc"),
-        F.col("r_name").alias("country_code"),
-        F.col("r_name").alias("country"),
-        F.col("n_nationkey").cast("long").alias("area_code"),
-        F.col("n_name").alias("area_name"),
-        _choice(kind, "solar", "wind_onshore", "wind_offshore", "fossil_gas").alias("technology"),
-        _choice(kind, "B16", "B19", "B18", "B04").alias("psr_type"),
-        _choice(F.col("l_linenumber") % 3, "PT15M", "PT60M", "PT30M").alias("resolution"),
-        F.when(F.col("l_returnflag") == "R", "consumption")
-        .otherwise("production")
-        .alias("business_type_label"),
-        F.when(F.col("l_linestatus") == "O", "A16").otherwise("A01").alias("process_type"),
-        F.when(F.col("l_linestatus") == "O", "realised")
-        .otherwise("day_ahead")
-        .alias("process_type_label"),
-        F.when(F.col("l_linestatus") == "O", "generation_forecast_wind_solar")
-        .otherwise("day_ahead_aggregated_generation")
-        .alias("forecast_dataset"),
-        F.concat(F.to_date(time).cast("string"), F.lit("T00:00Z")).alias("period_start"),
-        F.concat(F.date_add(F.to_date(time), 1).cast("string"), F.lit("T00:00Z")).alias(
-            "period_end"
-        ),
-        (F.col("l_quantity") - 2).alias("quantity_mw"),
-        (F.col("l_quantity") * (F.lit(1) + F.col("l_discount") - F.col("l_tax"))).alias(
-            "forecast_mw"
-        ),
-        F.when(F.col("l_tax") != 0.08, F.col("l_extendedprice") / 1000).alias("price_amount"),
-        F.lit("MAW").alias("unit"),
-        F.lit("EUR").alias("currency_unit"),
-        F.lit("MWH").alias("price_measure_unit"),
-        F.lit("entsoe").alias("source"),
-        F.col("l_shipdate").alias("ingested_at"),
+    time = _hours_on("(l_orderkey * 7 + l_linenumber) % 720")
+    return _with_nation(joined, "s_nationkey", spark, sf_dir).selectExpr(
+        f"to_date({time}) AS event_date",
+        f"{time} AS timestamp_utc",
+        *_AREA,
+        "CASE p_size % 4 WHEN 0 THEN 'solar' WHEN 1 THEN 'wind_onshore'"
+        " WHEN 2 THEN 'wind_offshore' ELSE 'fossil_gas' END AS technology",
+        "CASE p_size % 4 WHEN 0 THEN 'B16' WHEN 1 THEN 'B19' WHEN 2 THEN 'B18'"
+        " ELSE 'B04' END AS psr_type",
+        "CASE l_linenumber % 3 WHEN 0 THEN 'PT15M' WHEN 1 THEN 'PT60M'"
+        " ELSE 'PT30M' END AS resolution",
+        "IF(l_returnflag = 'R', 'consumption', 'production') AS business_type_label",
+        "IF(l_linestatus = 'O', 'A16', 'A01') AS process_type",
+        "IF(l_linestatus = 'O', 'realised', 'day_ahead') AS process_type_label",
+        "IF(l_linestatus = 'O', 'generation_forecast_wind_solar',"
+        " 'day_ahead_aggregated_generation') AS forecast_dataset",
+        f"concat(CAST(to_date({time}) AS STRING), 'T00:00Z') AS period_start",
+        f"concat(CAST(date_add(to_date({time}), 1) AS STRING), 'T00:00Z') AS period_end",
+        "l_quantity - 2 AS quantity_mw",
+        "l_quantity * (1 + l_discount - l_tax) AS forecast_mw",
+        "IF(l_tax = 0.08D, NULL, l_extendedprice / 1000) AS price_amount",
+        "'MAW' AS unit",
+        "'EUR' AS currency_unit",
+        "'MWH' AS price_measure_unit",
+        "'entsoe' AS source",
+        "l_shipdate AS ingested_at",
         "l_tax",
         *GENERATION_TIES,
     )
@@ -111,30 +116,20 @@ def forecast_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A load reading per order."""
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    joined = (
-        table(spark, sf_dir, "orders")
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(_nations(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
+    joined = table(spark, sf_dir, "orders").join(
+        table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey")
     )
-    time = _hours_on((F.col("o_orderkey") * 7 + 1) % 720)
-    return joined.select(
-        F.to_date(time).alias("event_date"),
-        time.alias("timestamp_utc"),
-        F.col("r_name").alias("country_code"),
-        F.col("r_name").alias("country"),
-        F.col("n_nationkey").cast("long").alias("area_code"),
-        F.col("n_name").alias("area_name"),
-        F.when(F.col("o_orderstatus") == "O", "day_ahead_total_load_forecast")
-        .otherwise("actual_total_load")
-        .alias("dataset"),
-        F.when(F.col("o_orderpriority") == "5-LOW", 0.0)
-        .otherwise(F.col("o_totalprice") / 1000)
-        .alias("quantity_mw"),
-        F.lit("PT60M").alias("resolution"),
-        F.lit("MAW").alias("unit"),
-        F.lit("entsoe").alias("source"),
-        F.col("o_orderdate").alias("ingested_at"),
+    time = _hours_on("(o_orderkey * 7 + 1) % 720")
+    return _with_nation(joined, "c_nationkey", spark, sf_dir).selectExpr(
+        f"to_date({time}) AS event_date",
+        f"{time} AS timestamp_utc",
+        *_AREA,
+        "IF(o_orderstatus = 'O', 'day_ahead_total_load_forecast', 'actual_total_load') AS dataset",
+        "IF(o_orderpriority = '5-LOW', 0.0D, o_totalprice / 1000) AS quantity_mw",
+        "'PT60M' AS resolution",
+        "'MAW' AS unit",
+        "'entsoe' AS source",
+        "o_orderdate AS ingested_at",
         *LOAD_TIES,
     )
 
@@ -142,41 +137,37 @@ def load_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def weather_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A weather observation per event."""
     events = table(spark, sf_dir, "events")
-    joined = events.join(_nations(spark, sf_dir), F.col("n_nationkey") == F.col("user_id") % 25)
-    kind = F.col("event_type")
-    technology = (
-        F.when(kind.isin("click", "signup"), "solar")
-        .when(kind == "view", "wind-onshore")
-        .when(kind == "purchase", "wind-offshore")
-        .otherwise("other")
-    )
-    value = F.col("value")
-    return joined.select(
-        F.to_date("ts").alias("event_date"),
+    return _with_nation(events, "user_id % 25", spark, sf_dir).select(
+        F.expr("to_date(ts)").alias("event_date"),
         hour_floor("ts").alias("observation_timestamp_utc"),
-        F.col("r_name").alias("country_code"),
-        F.col("r_name").alias("country"),
-        F.col("n_name").alias("bidding_zone"),
-        technology.alias("technology"),
-        F.concat_ws("_", F.lit("site"), F.col("user_id").cast("string"), kind).alias(
-            "cluster_name"
-        ),
-        F.col("n_nationkey").cast("double").alias("response_lat"),
-        (F.col("n_nationkey") * F.lit(2.0)).alias("response_lon"),
-        (value / 5 - 20).alias("temperature_2m"),
-        (F.col("event_id") % 105).cast("double").alias("relative_humidity_2m"),
-        (value - 5).alias("precipitation"),
-        (value / 2 + 840).alias("surface_pressure"),
-        (F.col("event_id") % 111).cast("double").alias("cloud_cover"),
-        (value * 3).alias("shortwave_radiation"),
-        (value * 2).alias("direct_radiation"),
-        (value * 4).alias("diffuse_radiation"),
-        (value * 5).alias("global_tilted_irradiance"),
-        (value / 10).alias("wind_speed_100m"),
-        (F.col("event_id") % 365).cast("double").alias("wind_direction_100m"),
-        (value / 8).alias("wind_gusts_10m"),
-        F.lit("open-meteo").alias("source"),
-        F.col("ts").alias("ingested_at"),
+        *[
+            F.expr(value)
+            for value in (
+                "r_name AS country_code",
+                "r_name AS country",
+                "n_name AS bidding_zone",
+                "CASE event_type WHEN 'click' THEN 'solar' WHEN 'signup' THEN 'solar'"
+                " WHEN 'view' THEN 'wind-onshore' WHEN 'purchase' THEN 'wind-offshore'"
+                " ELSE 'other' END AS technology",
+                "concat_ws('_', 'site', CAST(user_id AS STRING), event_type) AS cluster_name",
+                "CAST(n_nationkey AS DOUBLE) AS response_lat",
+                "n_nationkey * 2.0D AS response_lon",
+                "value / 5 - 20 AS temperature_2m",
+                "CAST(event_id % 105 AS DOUBLE) AS relative_humidity_2m",
+                "value - 5 AS precipitation",
+                "value / 2 + 840 AS surface_pressure",
+                "CAST(event_id % 111 AS DOUBLE) AS cloud_cover",
+                "value * 3 AS shortwave_radiation",
+                "value * 2 AS direct_radiation",
+                "value * 4 AS diffuse_radiation",
+                "value * 5 AS global_tilted_irradiance",
+                "value / 10 AS wind_speed_100m",
+                "CAST(event_id % 365 AS DOUBLE) AS wind_direction_100m",
+                "value / 8 AS wind_gusts_10m",
+                "'open-meteo' AS source",
+                "ts AS ingested_at",
+            )
+        ],
         *WEATHER_TIES,
     )
 

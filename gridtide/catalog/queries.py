@@ -249,7 +249,7 @@ def jsonl_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "timestamp_utc",
         "area_code",
         "psr_type",
-        "quantity_mw",
+        to_number("quantity_mw").alias("quantity_mw"),
         "status",
         *[found[n].alias(part) for n, part in enumerate(parts)],
     )
@@ -269,7 +269,12 @@ def jsonl_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     records.select(written.alias("value")).write.text(path)
     lines = json_lines.read_lines(spark, path, WEATHER_RECORD, glob="*.txt")
     return json_lines.readable(lines).select(
-        "current_time", "cluster_name", "technology", "ingested_at", "temperature_2m", "cloud_cover"
+        "current_time",
+        "cluster_name",
+        "technology",
+        "ingested_at",
+        to_number("temperature_2m").alias("temperature_2m"),
+        to_number("cloud_cover").alias("cloud_cover"),
     )
 
 

@@ -32,19 +32,21 @@ def utc_from_epoch(seconds: Column | str) -> Column:
 def utc_from_text(text: Column | str) -> Column:
     """UTC wall clock of an ISO-8601 text; blank or unreadable text gives null.
 
-    Accepts minutes without seconds, any offset, and no offset (read as UTC).
+    Accepts minutes without seconds, any offset, no offset (read as UTC) and a
+    bare date.  The layout is fixed by position, so no pattern matching runs
+    per row; the cast rejects whatever is not a time.
     """
     text = F.trim(as_column(text))
     # A bare time of day is no instant, though a cast would read it as today's.
-    dated = text.rlike(r"^\d{4}-\d{2}-\d{2}($|[T ]\d)")
-    with_seconds = F.regexp_replace(text, r"^([^T ]+[T ]\d{2}:\d{2})(?=$|Z|[+-])", "$1:00")
-    has_offset = text.rlike(r"[T ].*(Z|[+-]\d{2}:?\d{2})$")
-    zoned = F.when(has_offset, with_seconds).otherwise(
-        F.when(text.contains(":"), F.concat(with_seconds, F.lit("Z"))).otherwise(
-            F.concat(with_seconds, F.lit("T00:00:00Z"))
-        )
+    is_dated = (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+    head, tail = F.substring(text, 1, 16), F.substring(text, 17, 24)
+    seconds = F.when(tail.startswith(":"), F.lit("")).otherwise(F.lit(":00"))
+    has_offset = tail.endswith("Z") | tail.contains("+") | tail.contains("-")
+    offset = F.when(has_offset, F.lit("")).otherwise(F.lit("Z"))
+    full = F.when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z"))).otherwise(
+        F.concat(head, seconds, tail, offset)
     )
-    return utc_from_instant(F.when(dated, zoned).try_cast("timestamp"))
+    return utc_from_instant(F.when(is_dated, full).try_cast("timestamp"))
 
 
 def hour_floor(ts: Column | str) -> Column:
@@ -76,9 +78,14 @@ def closed_hour(now: Column | str) -> tuple[Column, Column]:
 def resolution_hours(resolution: Column | str) -> Column:
     """Hours of one reading, for MW to MWh; anything but hours or minutes counts as 1."""
     text = F.upper(as_column(resolution))
+    usual = {name: n / 60 for name, n in RESOLUTION_MINUTES.items() if name.startswith("PT")}
+    known = F.try_element_at(
+        F.create_map(*[F.lit(v) for pair in usual.items() for v in pair]), text
+    )
     hours = F.regexp_extract(text, r"^PT(\d+(?:\.\d+)?)H$", 1).try_cast("double")
     minutes = F.regexp_extract(text, r"^PT(\d+(?:\.\d+)?)M$", 1).try_cast("double")
-    return F.coalesce(hours, minutes / 60, F.lit(1.0))
+    # Patterns are only tried for a text outside the usual ones.
+    return F.coalesce(known, hours, minutes / 60, F.lit(1.0))
 
 
 def position_time(start: Column | str, resolution: Column | str, position: Column | str) -> Column:

@@ -44,3 +44,15 @@ def keep_last(
     order += [F.col(name).desc_nulls_last() for name in tiebreak]
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(_RANK, F.row_number().over(window)).where(F.col(_RANK) == 1).drop(_RANK)
+
+
+def keep_last_of_day(
+    df: DataFrame, keys: Sequence[str], tiebreak: Sequence[str] | None = None
+) -> DataFrame:
+    """Keep the latest row per key within each ``event_date``.
+
+    Tables are rebuilt day by day, so the day belongs to every key.  It also
+    lets a filter on the day pass below the ranking and prune partitions.
+    """
+    day = [name for name in ["event_date"] if name in df.columns and name not in keys]
+    return keep_last(df, [*day, *keys], tiebreak=tiebreak)

@@ -16,7 +16,7 @@ from gridtide.functions.numeric import (
     sum_where,
 )
 from gridtide.functions.temporal import resolution_hours
-from gridtide.operators.keep_last import keep_last
+from gridtide.operators.keep_last import keep_last_of_day
 from gridtide.reference_data import RENEWABLE_GENERATION
 from gridtide.schemas import (
     AGG_DAILY_GENERATION_MIX,
@@ -51,7 +51,7 @@ def fact_generation(
     tiebreak: Sequence[str] | None = None,
 ) -> DataFrame:
     """Actual generation, one row per key; a negative reading becomes null."""
-    latest = keep_last(readings, key, tiebreak=tiebreak)
+    latest = keep_last_of_day(readings, key, tiebreak=tiebreak)
     flagged = latest.withColumns(
         {
             "quantity_mw": not_negative("quantity_mw"),
@@ -65,7 +65,7 @@ def fact_load(
     readings: DataFrame, key: Sequence[str] = LOAD_KEY, tiebreak: Sequence[str] | None = None
 ) -> DataFrame:
     """Actual and forecast load; zero counts as missing here, unlike generation."""
-    latest = keep_last(readings, key, tiebreak=tiebreak)
+    latest = keep_last_of_day(readings, key, tiebreak=tiebreak)
     return conform(latest.withColumn("quantity_mw", positive("quantity_mw")), FACT_LOAD)
 
 
@@ -73,7 +73,7 @@ def fact_prices(
     readings: DataFrame, key: Sequence[str] = PRICE_KEY, tiebreak: Sequence[str] | None = None
 ) -> DataFrame:
     """Day-ahead prices.  The null test follows keep-last: a null latest price removes the key."""
-    latest = keep_last(readings, key, tiebreak=tiebreak)
+    latest = keep_last_of_day(readings, key, tiebreak=tiebreak)
     return conform(latest.where(F.col("price_amount").isNotNull()), FACT_PRICES)
 
 
@@ -83,7 +83,7 @@ def fact_generation_forecast(
     tiebreak: Sequence[str] | None = None,
 ) -> DataFrame:
     present = [name for name in key if name in readings.columns]
-    latest = keep_last(readings, present, tiebreak=tiebreak)
+    latest = keep_last_of_day(readings, present, tiebreak=tiebreak)
     return conform(
         latest.withColumn("quantity_mw", not_negative("quantity_mw")), FACT_GENERATION_FORECAST
     )

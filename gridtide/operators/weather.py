@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridtide.functions.labels import is_member, technology_group
 from gridtide.functions.numeric import round_half_up, within
-from gridtide.operators.keep_last import keep_last
+from gridtide.operators.keep_last import keep_last_of_day
 from gridtide.reference_data import RENEWABLE_WEATHER, WEATHER_LIMITS
 from gridtide.schemas import AGG_DAILY_BIDDING_ZONE, FACT_HOURLY_WEATHER, conform
 
@@ -46,7 +46,7 @@ def fact_hourly_weather(
     tiebreak: Sequence[str] | None = None,
 ) -> DataFrame:
     """One observation per time and site, measures checked, technology labelled."""
-    latest = null_outside_limits(keep_last(observations, key, tiebreak=tiebreak), limits)
+    latest = null_outside_limits(keep_last_of_day(observations, key, tiebreak=tiebreak), limits)
     labelled = latest.withColumns(
         {
             "technology_group": technology_group("technology"),

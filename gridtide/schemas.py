@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridtide.functions.numeric import as_column
 from gridtide.functions.temporal import utc_from_instant, utc_from_text
 
 _KINDS = {
@@ -183,17 +184,16 @@ TABLES = {
 }
 
 
-def _as_type(name: str, have: T.DataType, want: T.DataType) -> Column:
-    column = F.col(f"`{name}`")
+def _as_type(name: str, have: T.DataType, want: T.DataType) -> Column | str:
     if have == want:
-        return column
-    if isinstance(want, T.TimestampNTZType):
-        if isinstance(have, T.StringType):
-            return utc_from_text(column)
-        if isinstance(have, T.TimestampType):
-            return utc_from_instant(column)
+        return name
+    column = F.col(f"`{name}`")
+    if isinstance(want, T.TimestampNTZType) and isinstance(have, T.StringType):
+        return utc_from_text(column)
+    if isinstance(want, T.TimestampNTZType) and isinstance(have, T.TimestampType):
+        return utc_from_instant(column)
     if isinstance(have, T.NullType):
-        return F.lit(None).cast(want)
+        return column.cast(want)
     return column.try_cast(want)
 
 
@@ -207,12 +207,13 @@ def conform(
     """
     have = {field.name: field.dataType for field in df.schema.fields}
     former_names = former_names or {}
-    columns = []
+    columns: list[Column | str] = []
     for field in schema.fields:
         name = field.name if field.name in have else former_names.get(field.name, field.name)
-        if name in have:
-            value = _as_type(name, have[name], field.dataType)
-        else:
-            value = F.lit(None).cast(field.dataType)
-        columns.append(value.alias(field.name))
+        if name not in have:
+            columns.append(F.lit(None).cast(field.dataType).alias(field.name))
+            continue
+        value = _as_type(name, have[name], field.dataType)
+        plain = isinstance(value, str) and value == field.name
+        columns.append(value if plain else as_column(value).alias(field.name))
     return df.select(*columns)

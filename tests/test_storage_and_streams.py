@@ -1,0 +1,212 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from gridtide.operators.clean import clean_market
+from gridtide.plans import rebuild
+from gridtide.reference_data import MARKET_DATASETS
+from gridtide.schemas import FACT_LOAD, MARKET_CLEAN, MARKET_RECORD, WEATHER_RECORD, conform
+from gridtide.sources import expected_series, json_lines
+from gridtide.sources import tables as storage
+from gridtide.streaming import ingest
+from test_cleaning import market_records, weather_records
+
+
+def load(spark, day, value, area="A"):
+    row = (dt.date(2026, 4, day), dt.datetime(2026, 4, day, 1), area, value)
+    frame = spark.createDataFrame(
+        [row], "event_date date, timestamp_utc timestamp_ntz, area_code string, quantity_mw double"
+    )
+    return conform(frame, FACT_LOAD)
+
+
+def stored(spark, path):
+    rows = storage.read_table(spark, path, FACT_LOAD).collect()
+    return sorted((r.event_date.day, r.area_code, r.quantity_mw) for r in rows)
+
+
+def test_overwrite_replaces_only_its_days(spark, tmp_path):
+    path = str(tmp_path / "t")
+    storage.create_if_absent(spark, path, FACT_LOAD)
+    assert stored(spark, path) == []
+    both = load(spark, 1, 1.0).unionByName(load(spark, 2, 2.0))
+    assert storage.overwrite_days(both, path, FACT_LOAD) == 2
+    for _ in range(2):
+        storage.overwrite_days(load(spark, 2, 3.0, "B"), path, FACT_LOAD)
+        assert stored(spark, path) == [(1, "A", 1.0), (2, "B", 3.0)]
+    assert storage.overwrite_days(both.where("1 = 0"), path, FACT_LOAD) == 0
+    storage.create_if_absent(spark, path, FACT_LOAD)
+    assert stored(spark, path) == [(1, "A", 1.0), (2, "B", 3.0)]
+
+
+def test_scan_prunes_partitions(spark, tmp_path):
+    path = str(tmp_path / "clean")
+    rows = clean_market(
+        market_records(
+            spark,
+            {},
+            {"timestamp_utc": "2026-04-23T01:00:00Z"},
+            {"dataset": "day_ahead_energy_prices"},
+        )
+    )
+    storage.append_partitioned(rows, path, ["event_date", "dataset"])
+    one = storage.read_table(spark, path, MARKET_CLEAN, ["2026-04-22"], ["actual_total_load"])
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters"):]
+    assert "event_date" in filters.split("]")[0] and "dataset" in filters.split("]")[0]
+    assert one.count() == 1
+    assert storage.read_table(spark, path, MARKET_CLEAN, ["1999-01-01"]).count() == 0
+
+
+def test_append_leaves_out_rows_without_day(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = load(spark, 1, 1.0).unionByName(
+        load(spark, 2, 2.0).withColumn("event_date", F.lit(None).cast("date"))
+    )
+    storage.append_partitioned(rows, path, ["event_date"])
+    assert stored(spark, path) == [(1, "A", 1.0)]
+
+
+def test_broken_lines_are_kept_apart(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"status": "ok", "area_code": "A"}\n\n  \n{"status": \n')
+    (tmp_path / "ignored.csv").write_text("x\n")
+    lines = json_lines.read_lines(spark, str(tmp_path), MARKET_RECORD)
+    assert [r.area_code for r in json_lines.readable(lines).collect()] == ["A"]
+    (row,) = json_lines.broken(lines).collect()
+    assert (row.status, row.raw_line) == ("request_failed", '{"status": ')
+    assert row.source_file.endswith("a.jsonl")
+
+
+def test_one_bad_number_does_not_cost_the_record(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text(
+        '{"status": "ok", "timestamp_utc": "2026-04-22T10:00Z", "area_code": "A",'
+        ' "quantity_mw": "much", "price_amount": "7.5"}\n'
+        '{"status": "ok", "timestamp_utc": "2026-04-22T11:00Z", "area_code": "A",'
+        ' "quantity_mw": 3.25, "price_amount": NaN}\n'
+    )
+    lines = json_lines.read_lines(spark, str(tmp_path), MARKET_RECORD)
+    got = clean_market(json_lines.readable(lines)).orderBy("timestamp_utc").collect()
+    assert [(r.quantity_mw, r.price_amount) for r in got] == [(None, 7.5), (3.25, None)]
+
+
+def test_landing_layout(spark, tmp_path):
+    json_lines.write_lines(market_records(spark, {}), str(tmp_path / "landed"))
+    folder = tmp_path / "landed/feed=actual_total_load/year=2026/month=04/day=22/hour=11"
+    assert [p.suffix for p in folder.iterdir() if not p.name.startswith(".")] == [".json"]
+
+
+def test_shared_folder_follows_the_session(spark):
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    first, second = (storage.shared_folder(spark, "x") for _ in range(2))
+    assert first != second
+    if root:
+        assert first.startswith(root)
+
+
+def test_default_day_and_range():
+    assert rebuild.yesterday() < dt.datetime.now(dt.UTC).date()
+    assert rebuild.day_range(dt.date(2026, 4, 30), dt.date(2026, 5, 1)) == [
+        "2026-04-30",
+        "2026-05-01",
+    ]
+
+
+def test_expected_series(spark):
+    zones = expected_series.bidding_zones(spark)
+    assert zones.count() == 23
+    assert expected_series.expected_series(zones).count() == 23 * len(MARKET_DATASETS)
+    received = spark.createDataFrame(
+        [("10YPL-AREA-----S", "actual_total_load")] * 2, "area_code string, dataset string"
+    )
+    expected = expected_series.expected_series(zones)
+    status = expected_series.series_status(expected, received)
+    assert status.where("rows_received > 0").select("area_name", "rows_received").collect() == [
+        ("PL", 2)
+    ]
+    assert expected_series.missing_series(expected, received).count() == 137
+    assert expected_series.weather_sites(spark).count() == 23
+    assert expected_series.market_datasets(spark).count() == 6
+
+
+def land(spark, path, *changes, records=market_records):
+    json_lines.write_lines(records(spark, *changes), path)
+
+
+@pytest.fixture
+def places(tmp_path):
+    return {name: str(tmp_path / name) for name in ("landing", "clean", "checkpoint", "tables")}
+
+
+def test_late_data_and_replay(spark, places):
+    def run(checkpoint="checkpoint"):
+        query = ingest.start_ingest(
+            spark,
+            ingest.MARKET,
+            places["landing"],
+            places["clean"],
+            places[checkpoint] if checkpoint in places else checkpoint,
+            places["tables"],
+        )
+        query.awaitTermination()
+
+    def table():
+        rows = rebuild.open_tables(spark, places["tables"])["fact_load"].collect()
+        return sorted((r.timestamp_utc.day, r.quantity_mw) for r in rows)
+
+    land(spark, places["landing"], {"quantity_mw": 1.0}, {
+        "quantity_mw": 2.0, "timestamp_utc": "2026-04-23T10:00:00Z"})
+    run()
+    assert table() == [(22, 1.0), (23, 2.0)]
+    land(spark, places["landing"], {"quantity_mw": 9.0, "ingested_at": "2026-04-25T11:00:00Z"})
+    run()
+    assert table() == [(22, 9.0), (23, 2.0)]
+    # A fresh checkpoint replays every file: cleaned rows repeat, tables do not change.
+    run(places["checkpoint"] + "-again")
+    assert storage.read_table(spark, places["clean"], MARKET_CLEAN).count() == 6
+    assert table() == [(22, 9.0), (23, 2.0)]
+
+
+def test_stream_equals_batch_over_the_same_files(spark, places):
+    changes = [
+        {"cluster_name": f"s{n % 5}", "temperature_2m": float(n), "ingested_at": f"2026-04-22T1{n % 3}:00:00Z"}
+        for n in range(20)
+    ]
+    for part in (changes[:10], changes[10:]):
+        rows = weather_records(spark, *part).withColumn("dataset", F.lit("current"))
+        json_lines.write_lines(rows, places["landing"])
+    query = ingest.start_ingest(
+        spark,
+        ingest.WEATHER,
+        places["landing"],
+        places["clean"],
+        places["checkpoint"],
+        places["tables"],
+        files_per_batch=1,
+    )
+    query.awaitTermination()
+    streamed = rebuild.open_tables(spark, places["tables"])["fact_hourly_weather"]
+    batch_root = places["tables"] + "-batch"
+    batch_clean = places["clean"] + "-batch"
+    lines = json_lines.readable(json_lines.read_lines(spark, places["landing"], WEATHER_RECORD))
+    storage.append_partitioned(ingest.WEATHER.clean(lines), batch_clean, ["event_date"])
+    rebuild.rebuild_weather(spark, batch_clean, batch_root, ["2026-04-22"])
+    batch = rebuild.open_tables(spark, batch_root)["fact_hourly_weather"]
+    assert streamed.count() == 5
+    assert sorted(streamed.collect()) == sorted(batch.collect())
+
+
+def test_rebuild_leaves_other_days_alone(spark, places):
+    rows = clean_market(
+        market_records(spark, {}, {"timestamp_utc": "2026-04-23T01:00:00Z", "quantity_mw": 4.0})
+    )
+    storage.append_partitioned(rows, places["clean"], ["event_date", "dataset"])
+    first = rebuild.rebuild_market(spark, places["clean"], places["tables"], ["2026-04-22"])
+    assert first["fact_load"] == 1 and first["fact_prices"] == 0
+    second = rebuild.rebuild_market(
+        spark, places["clean"], places["tables"], ["2026-04-23"], ["actual_total_load"]
+    )
+    assert second == {"fact_load": 1}
+    assert rebuild.open_tables(spark, places["tables"])["fact_load"].count() == 2
