@@ -68,6 +68,11 @@ def _hours_on(hours: str) -> str:
     return f"timestampadd(HOUR, {hours}, TIMESTAMP_NTZ'{FIRST_DAY} 00:00:00')"
 
 
+def _day_text(day_of_month: str) -> str:
+    """ISO text of midnight on a day of the first month."""
+    return f"concat('{FIRST_DAY[:8]}', lpad(CAST({day_of_month} AS STRING), 2, '0'), 'T00:00Z')"
+
+
 def generation_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A generation, forecast and price reading per line item."""
     joined = (
@@ -75,7 +80,8 @@ def generation_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(table(spark, sf_dir, "supplier"), F.expr("l_suppkey = s_suppkey"))
         .join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
     )
-    time = _hours_on("(l_orderkey * 7 + l_linenumber) % 720")
+    hour = "(l_orderkey * 7 + l_linenumber) % 720"
+    time = _hours_on(hour)
     return _with_nation(joined, "s_nationkey", spark, sf_dir).selectExpr(
         f"to_date({time}) AS event_date",
         f"{time} AS timestamp_utc",
@@ -91,8 +97,8 @@ def generation_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "IF(l_linestatus = 'O', 'realised', 'day_ahead') AS process_type_label",
         "IF(l_linestatus = 'O', 'generation_forecast_wind_solar',"
         " 'day_ahead_aggregated_generation') AS forecast_dataset",
-        f"concat(CAST(to_date({time}) AS STRING), 'T00:00Z') AS period_start",
-        f"concat(CAST(date_add(to_date({time}), 1) AS STRING), 'T00:00Z') AS period_end",
+        f"{_day_text(f'({hour}) DIV 24 + 1')} AS period_start",
+        f"{_day_text(f'({hour}) DIV 24 + 2')} AS period_end",
         "l_quantity - 2 AS quantity_mw",
         "l_quantity * (1 + l_discount - l_tax) AS forecast_mw",
         "IF(l_tax = 0.08D, NULL, l_extendedprice / 1000) AS price_amount",

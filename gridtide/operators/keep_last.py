@@ -52,7 +52,9 @@ def keep_last_of_day(
     """Keep the latest row per key within each ``event_date``.
 
     Tables are rebuilt day by day, so the day belongs to every key.  It also
-    lets a filter on the day pass below the ranking and prune partitions.
+    lets a filter on the day pass below the ranking and prune partitions.  It
+    comes last in the key: sorting is faster when the first column tells most
+    rows apart.
     """
     day = [name for name in ["event_date"] if name in df.columns and name not in keys]
-    return keep_last(df, [*day, *keys], tiebreak=tiebreak)
+    return keep_last(df, [*keys, *day], tiebreak=tiebreak)
