@@ -48,6 +48,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str, keys: list[str]) -> DataFrame:
+    """A table spread over all cores when its files give fewer splits than there are cores.
+
+    A small table in one row group would otherwise keep one core busy with all
+    the work before the first shuffle.  A table with enough splits is read
+    where it lies, without that exchange.
+    """
+    rows = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, *keys)
+
+
 def _with_nation(rows: DataFrame, nation_key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Add nation and region names to rows that carry the key of a nation."""
     nation = table(spark, sf_dir, "nation").join(
@@ -76,7 +88,7 @@ def _day_text(day_of_month: str) -> str:
 def generation_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A generation, forecast and price reading per line item."""
     joined = (
-        table(spark, sf_dir, "lineitem")
+        spread_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey"])
         .join(table(spark, sf_dir, "supplier"), F.expr("l_suppkey = s_suppkey"))
         .join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
     )
@@ -122,7 +134,7 @@ def forecast_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A load reading per order."""
-    joined = table(spark, sf_dir, "orders").join(
+    joined = spread_table(spark, sf_dir, "orders", ["o_orderkey"]).join(
         table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey")
     )
     time = _hours_on("(o_orderkey * 7 + 1) % 720")
@@ -142,7 +154,7 @@ def load_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def weather_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A weather observation per event."""
-    events = table(spark, sf_dir, "events")
+    events = spread_table(spark, sf_dir, "events", ["event_id"])
     return _with_nation(events, "user_id % 25", spark, sf_dir).select(
         F.expr("to_date(ts)").alias("event_date"),
         hour_floor("ts").alias("observation_timestamp_utc"),
