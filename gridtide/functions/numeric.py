@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,9 +13,10 @@ def as_column(value: Column | str) -> Column:
 
 
 def to_number(value: Column | str) -> Column:
-    """Double, with unreadable text and NaN turned to null."""
+    """Double; unreadable text, NaN and infinities become null."""
     number = as_column(value).try_cast("double")
-    return F.when(~F.isnan(number), number)
+    # NaN sorts above infinity, so one comparison covers all three.
+    return F.when(F.abs(number) < F.lit(math.inf), number)
 
 
 def round_half_up(value: Column | str, digits: int) -> Column:

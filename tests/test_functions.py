@@ -23,9 +23,9 @@ def test_round_half_up(spark):
 
 
 def test_to_number(spark):
-    values = ["5", " 5.5 ", "1e3", "abc", "", "NaN", None]
+    values = ["5", " 5.5 ", "-1e3", "abc", "", "NaN", "-Infinity", "1e999", None]
     got = column(spark, values, "string", numeric.to_number)
-    assert got == [5.0, 5.5, 1000.0, None, None, None, None]
+    assert got == [5.0, 5.5, -1000.0, *[None] * 6]
 
 
 def test_within_includes_both_ends(spark):

@@ -60,3 +60,10 @@ def test_no_pinned_broadcast(spark, sf_dir):
         assert "Broadcast" not in plan and "SortMergeJoin" in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_hot_zone_is_spread_over_its_wind_speeds(spark, sf_dir):
+    plan = plan_of(entry.queries()["agg_daily_bidding_zone"](spark, sf_dir))
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    zone_exchanges = [line for line in exchanges if "technology_group" in line]
+    assert ["wind_speed_100m" in line.split("ENSURE")[0] for line in zone_exchanges] == [False, True]
