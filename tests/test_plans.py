@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as entry
 from gridtide.catalog import inputs
+from gridtide.catalog.queries import QUERIES
 
 BATCH = sorted(
     name
-    for name in entry.queries()
+    for name in QUERIES
     if not name.startswith(("stream_", "jsonl_", "silver_partitioned", "backfill"))
     and name
     not in (
@@ -28,13 +28,13 @@ def plan_of(frame):
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_python_and_no_pairing(name, spark, sf_dir):
-    plan = plan_of(entry.queries()[name](spark, sf_dir))
+    plan = plan_of(QUERIES[name](spark, sf_dir))
     for unwanted in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert unwanted not in plan
 
 
 def test_scan_reads_only_needed_columns(spark, sf_dir):
-    plan = plan_of(entry.queries()["v_supply_demand"](spark, sf_dir))
+    plan = plan_of(QUERIES["v_supply_demand"](spark, sf_dir))
     lines = next(line for line in plan.splitlines() if "lineitem" in line and "ReadSchema" in line)
     assert "l_discount" not in lines and "l_quantity" in lines
 
@@ -48,7 +48,7 @@ def test_day_filter_passes_below_keep_last(spark, sf_dir):
 
 
 def test_outer_join_becomes_inner(spark, sf_dir):
-    assert "LeftOuter" not in plan_of(entry.queries()["join_outer_to_inner"](spark, sf_dir))
+    assert "LeftOuter" not in plan_of(QUERIES["join_outer_to_inner"](spark, sf_dir))
 
 
 def test_no_pinned_broadcast(spark, sf_dir):
@@ -56,14 +56,14 @@ def test_no_pinned_broadcast(spark, sf_dir):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        plan = plan_of(entry.queries()["q11_error_vs_weather"](spark, sf_dir))
+        plan = plan_of(QUERIES["q11_error_vs_weather"](spark, sf_dir))
         assert "Broadcast" not in plan and "SortMergeJoin" in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_hot_zone_is_spread_over_its_wind_speeds(spark, sf_dir):
-    plan = plan_of(entry.queries()["agg_daily_bidding_zone"](spark, sf_dir))
+    plan = plan_of(QUERIES["agg_daily_bidding_zone"](spark, sf_dir))
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     zone_exchanges = [line for line in exchanges if "technology_group" in line]
     assert ["wind_speed_100m" in line.split("ENSURE")[0] for line in zone_exchanges] == [False, True]

@@ -6,8 +6,10 @@ import comparing
 import pytest
 
 import __spark_entry__ as entry
+from gridtide.catalog import oracle
+from gridtide.catalog.queries import QUERIES
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +21,10 @@ def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_entry_registers_them():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
+
+
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
 
