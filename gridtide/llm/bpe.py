@@ -5,8 +5,8 @@ An inverted index maps each mergeable token pair to the word positions where it
 stands.  Merges are applied in the order of their ranks, each at all its
 positions in one go; an applied merge touches only the two neighbours of a
 position, whose new pairs enter the index.  The ids of a word are kept, so a
-word of many documents is merged once per task, and a document's ids are those
-of its words, one after the other.  Nothing is shuffled.
+word of many documents is merged once, and a document's ids are those of its
+words, one after the other.  Nothing is shuffled; what is kept is bounded.
 
 A null text counts as empty (no ids).  Null document ids, ties and repeated
 rows are carried along; whole texts are encoded, however long one word is.
@@ -17,14 +17,18 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import re
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHED_WORDS = 300_000
-TEXTS_AT_ONCE = 512
+from gridtide.llm.common import kept_by_worker, no_cycle_search
+
+KEPT_PARTS = 400_000
+TEXTS_AT_ONCE = 4096
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -37,9 +41,11 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class MergeReplay:
     """Encode words by the ranks of their tokens; ``decode`` joins the tokens of ids."""
 
+    NONE = np.int32(1 << 30)  # no merge of this pair
+
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self._bytes = [ranks[bytes([n])] for n in range(256)]
+        self._bytes = np.array([ranks[bytes([n])] for n in range(256)], np.int32)
         # Any split of a token into two tokens is a pair that merges into it.
         self._merged = {
             (ranks[token[:at]], ranks[token[at:]]): rank
@@ -47,114 +53,196 @@ class MergeReplay:
             for at in range(1, len(token))
             if token[:at] in ranks and token[at:] in ranks
         }
+        self._twins = {rank for (a, b), rank in self._merged.items() if a == b}
+        keys = np.array([(a << 32) | b for a, b in self._merged], np.int64)
+        order = np.argsort(keys)
+        self._keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self._ranks = np.append(np.array(list(self._merged.values()), np.int32)[order], self.NONE)
 
-    def encode(self, words: list[bytes]) -> list[list[int]]:
+    def _rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = (left.astype(np.int64) << 32) | right
+        at = np.searchsorted(self._keys, key)
+        return np.where(self._keys[at] == key, self._ranks[at], self.NONE)
+
+    def encode(self, words: list[bytes]) -> list[np.ndarray]:
         """The ids of each word: at any time its pair of the lowest rank merges, leftmost first."""
-        token: list[int] = []
-        following: list[int] = []
-        before: list[int] = []
-        starts = []
-        for word in words:
-            at, size = len(token), len(word)
-            starts.append(at)
-            token += [self._bytes[b] for b in word]
-            before += [-1, *range(at, at + size - 1)][:size]
-            following += [*range(at + 1, at + size), -1][:size]
-        merged, index = self._merged, {}
-        for at, after in enumerate(following):
-            if after >= 0 and (rank := merged.get((token[at], token[after]))) is not None:
-                index.setdefault(rank, []).append(at)
-        queue = list(index)
+        lengths = np.array([len(word) for word in words], np.int64)
+        ends = np.cumsum(lengths)
+        token = self._bytes[np.frombuffer(b"".join(words), np.uint8)]
+        size = len(token)
+        if not size:
+            return [np.empty(0, np.int32) for _ in words]
+        following, before = np.arange(1, size + 1), np.arange(-1, size - 1)
+        following[ends[lengths > 0] - 1] = -1
+        before[(ends - lengths)[lengths > 0]] = -1
+        alive = np.ones(size, bool)
+        rank_at = np.full(size, self.NONE, np.int32)
+        inner = np.flatnonzero(following >= 0)
+        rank_at[inner] = self._rank_of(token[inner], token[following[inner]])
+
+        # The inverted index: for each rank the positions of its pair.
+        index: dict[int, list[np.ndarray]] = {}
+
+        def enter(places: np.ndarray) -> list[int]:
+            """Index positions by their rank; returns the ranks that are new to the index."""
+            ranks = rank_at[places]
+            order = np.argsort(ranks, kind="stable")
+            ranks, places = ranks[order], places[order]
+            edges = np.flatnonzero(np.r_[True, ranks[1:] != ranks[:-1]]).tolist()
+            new = []
+            for start, end in zip(edges, [*edges[1:], len(ranks)]):
+                rank = int(ranks[start])
+                if rank in index:
+                    index[rank].append(places[start:end])
+                else:
+                    index[rank] = [places[start:end]]
+                    new.append(rank)
+            return new
+
+        first = np.flatnonzero(rank_at < self.NONE)
+        queue = enter(first) if len(first) else []
         heapq.heapify(queue)
+        disturbed: list[np.ndarray] = []
         while queue:
             rank = heapq.heappop(queue)
-            places = index.pop(rank, None)
-            if places is None:
+            places = index.pop(rank)
+            at = places[0] if len(places) == 1 else np.unique(np.concatenate(places))
+            at = at[rank_at[at] == rank]  # others were changed by a merge beside them
+            if not len(at):
                 continue
-            places.sort()
-            for n, at in enumerate(places):
-                after = following[at]
-                # A place is stale once a neighbouring merge has changed its pair.
-                if token[at] < 0 or after < 0 or merged.get((token[at], token[after])) != rank:
-                    continue
-                left, right = before[at], following[after]
-                token[at], token[after] = rank, -1
-                following[at] = right
-                if right >= 0:
-                    before[right] = at
-                sooner = False
-                for first, second in ((left, at), (at, right)):
-                    if first < 0 or second < 0:
-                        continue
-                    new = merged.get((token[first], token[second]))
-                    if new is not None:
-                        if new not in index:
-                            index[new] = []
-                            heapq.heappush(queue, new)
-                        index[new].append(first)
-                        sooner |= new < rank
-                if sooner:  # a lower rank has come up and goes first
-                    rest = places[n + 1 :]
-                    if rest:
-                        index[rank] = rest
-                        heapq.heappush(queue, rank)
-                    break
-        out = []
-        for at, word in zip(starts, words):
-            ids = []
-            at = at if word else -1
-            while at >= 0:
-                ids.append(token[at])
-                at = following[at]
-            out.append(ids)
+            if rank in self._twins:
+                at = _not_overlapping(np.sort(at), following)
+            second = following[at]
+            right = following[second]
+            token[at] = rank
+            alive[second] = False
+            rank_at[second] = self.NONE
+            following[at] = right
+            inside = right >= 0
+            before[right[inside]] = at[inside]
+            left = before[at]
+            touched = np.concatenate([left[left >= 0], at])
+            beyond = following[touched]
+            rank_at[touched[beyond < 0]] = self.NONE
+            touched, beyond = touched[beyond >= 0], beyond[beyond >= 0]
+            ranks = self._rank_of(token[touched], token[beyond])
+            rank_at[touched] = ranks
+            if (ranks < rank).any():
+                disturbed.append(touched[ranks < rank])
+            touched = touched[ranks < self.NONE]
+            if len(touched):
+                for new in enter(touched):
+                    heapq.heappush(queue, new)
+        token, number = token[alive], np.repeat(np.arange(len(words)), lengths)[alive]
+        out = np.split(token, np.searchsorted(number, np.arange(1, len(words))))
+        # A merge may bring up a pair of lower rank, which goes before further places of its own
+        # rank in that word: such words are encoded once more, merge by merge.
+        for places in disturbed:
+            for n in np.unique(np.searchsorted(ends, places, side="right")).tolist():
+                out[n] = np.array(self.encode_word(words[n]), np.int32)
         return out
 
+    def encode_word(self, word: bytes) -> list[int]:
+        """One word, merge by merge."""
+        ids = [int(self._bytes[b]) for b in word]
+        while True:
+            ranks = [self._merged.get(pair, self.NONE) for pair in zip(ids, ids[1:])]
+            rank = min(ranks, default=self.NONE)
+            if rank == self.NONE:
+                return ids
+            at = ranks.index(rank)
+            ids[at : at + 2] = [rank]
+
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join([self.tokens[n] for n in ids])
 
 
+def _not_overlapping(places: np.ndarray, following: np.ndarray) -> np.ndarray:
+    """Leave out places that are the second half of the pair before: equal tokens in a row."""
+    chosen, taken = [], -1
+    for at, after in zip(places.tolist(), following[places].tolist()):
+        if at != taken:
+            chosen.append(at)
+            taken = after
+    return np.array(chosen, np.int64)
+
+
 class CorpusEncoder:
-    """Ids of texts by way of their distinct words."""
+    """Ids of texts by way of their distinct parts and words.
+
+    A part is what stands between single spaces, the space before it included.
+    The pattern never joins two parts, except where a space has white space on
+    both sides (or the end behind it): such a text is one part.
+    """
 
     def __init__(self, ranks_path: str, pattern: str) -> None:
         import regex
 
         self.replay = MergeReplay(read_ranks(ranks_path))
-        self._words = regex.compile(pattern).findall
-        self._known: dict[str, tuple[int, ...]] = {}
+        self._split = regex.compile(pattern).findall
+        self._joined = re.compile(r"\s \s|\s \Z").search
+        self._parts: dict[str, tuple[bytes, bytes]] = {}
+        self._words: dict[str, np.ndarray] = {}
+        self._numerals = {n: b"%d" % n for n in self.replay.tokens}
+
+    @classmethod
+    def of_worker(cls, ranks_path: str, pattern: str) -> CorpusEncoder:
+        kept, key = kept_by_worker(), ("byte bpe", ranks_path, pattern)
+        return kept.get(key) or kept.setdefault(key, cls(ranks_path, pattern))
 
-    def encode(self, texts: list[str | None]) -> Iterator[list[int]]:
-        split = [self._words(text) if text else [] for text in texts]
-        known = self._known
+    def _parts_of(self, text: str | None) -> list[str]:
+        if not text:
+            return []
+        if self._joined(text):
+            return [text]
+        first, *others = text.split(" ")
+        parts = [" " + part for part in others]
+        return [first, *parts] if first else parts
+
+    def _learn(self, parts: list[str]) -> None:
+        if len(self._words) > KEPT_PARTS:
+            self._words.clear()
+        known, split = self._words, [self._split(part) for part in parts]
         new = list({word for words in split for word in words if word not in known})
-        if len(known) + len(new) > CACHED_WORDS and known:
-            known.clear()
-            new = list({word for words in split for word in words})
-        for word, ids in zip(new, self.replay.encode([word.encode() for word in new])):
-            known[word] = tuple(ids)
-        for words in split:
-            yield [n for word in words for n in known[word]]
+        known.update(zip(new, self.replay.encode([word.encode() for word in new])))
+        numerals = self._numerals
+        for part, words in zip(parts, split):
+            ids = known[words[0]] if len(words) == 1 else np.concatenate([known[w] for w in words])
+            spelled = b" ".join([numerals[n] for n in ids.tolist()])
+            self._parts[part] = (ids.tobytes(), spelled)
+
+    def encode(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, bytes]]:
+        """The ids of each text, and the ids as decimal numbers with single spaces between."""
+        split = [self._parts_of(text) for text in texts]
+        new = set().union(*split).difference(self._parts)
+        if len(self._parts) + len(new) > KEPT_PARTS and self._parts:
+            self._parts.clear()
+            new = set().union(*split)
+        with no_cycle_search():
+            self._learn(list(new))
+        for parts in split:
+            found = [self._parts[part] for part in parts]
+            ids = np.frombuffer(b"".join([f[0] for f in found]), np.int32)
+            yield ids, b" ".join([f[1] for f in found])
 
 
 def _encoded(ranks_path: str, pattern: str, with_ids: bool):
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
+
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = CorpusEncoder(ranks_path, pattern)
-        numerals = {n: b"%d" % n for n in encoder.replay.tokens}
+        encoder = CorpusEncoder.of_worker(ranks_path, pattern)
         for batch in batches:
             for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 some = batch.slice(start, TEXTS_AT_ONCE)
                 rows: list[list] = [[], [], [], []]
-                for ids in encoder.encode(some.column(1).to_pylist()):
-                    spelled = b" ".join([numerals[n] for n in ids])
+                for ids, spelled in encoder.encode(some.column(1).to_pylist()):
+                    decoded = encoder.replay.decode(ids.tolist())
                     rows[0].append(len(ids))
                     rows[1].append(hashlib.sha256(spelled).hexdigest())
-                    rows[2].append(hashlib.sha256(encoder.replay.decode(ids)).hexdigest())
-                    rows[3].append(ids if with_ids else None)
-                arrays = [some.column(0), pa.array(rows[0], pa.int64())]
-                arrays += [pa.array(r, pa.string()) for r in rows[1:3]]
-                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-                if with_ids:
-                    arrays, names = [*arrays, pa.array(rows[3], pa.list_(pa.int32()))], [*names, "ids"]
+                    rows[2].append(hashlib.sha256(decoded).hexdigest())
+                    rows[3].append(ids)
+                kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32())]
+                arrays = [some.column(0), *map(pa.array, rows, kinds)][: len(names)]
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
     return made

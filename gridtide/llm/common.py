@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import gc
+import sys
+import types
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,3 +34,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def kept_by_worker() -> dict:
+    """What a Python worker keeps from task to task, such as vocabularies it has read."""
+    name = "kept by the worker"
+    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+
+
+@contextlib.contextmanager
+def no_cycle_search() -> Iterator[None]:
+    """Make millions of small objects without the interpreter searching them for cycles."""
+    was_on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was_on:
+            gc.enable()

@@ -64,19 +64,29 @@ def counts(text: str | None) -> tuple[int, ...]:
     )
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = [counts(text.as_py()) for text in batch.column(batch.num_columns - 1)]
-        made = [pa.array(column, pa.int64()) for column in zip(*rows)] or [
-            pa.array([], pa.int64()) for _ in COUNTS
-        ]
-        names = [*batch.schema.names[:-1], *COUNTS]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names)
+def _counted(keep_text: bool):
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [counts(text.as_py()) for text in batch.column("text")]
+            counted = list(zip(*rows)) or [()] * len(COUNTS)
+            names, columns = list(batch.schema.names), list(batch.columns)
+            if not keep_text:
+                columns.pop(names.index("text"))
+                names.remove("text")
+            columns += [pa.array(column, pa.int64()) for column in counted]
+            yield pa.RecordBatch.from_arrays(columns, [*names, *COUNTS])
+
+    return made
 
 
 def with_counts(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """The kept columns of each document and its counts; a null text counts as empty."""
-    rows = docs.select(*keep, F.col("text").cast("string").alias("text to count"))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
-    schema = f"{kept}, " + ", ".join(f"{name} long" for name in COUNTS)
-    return rows.mapInArrow(_counted, schema)
+    """The kept columns of each document and its counts; a null text counts as empty.
+
+    Kept columns named like a count are replaced by it.
+    """
+    kept = [name for name in keep if name not in (*COUNTS, "text")]
+    rows = docs.select(*kept, F.col("text").cast("string"))
+    fields = [f for f in rows.schema if f.name != "text" or "text" in keep]
+    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
+    schema += [f"{name} long" for name in COUNTS]
+    return rows.mapInArrow(_counted("text" in keep), ", ".join(schema))

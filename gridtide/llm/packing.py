@@ -23,9 +23,11 @@ carried along, repeated rows are packed each, an empty table gives no pieces.
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 from bisect import bisect_right, insort
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -33,10 +35,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridtide.llm.common import kept_by_worker, no_cycle_search
+
 TIERS = (256, 512, 1024, 2048)
 END_ID = 1
 ID_BYTES = 4
-CACHED_WORDS = 300_000
+TEXTS_AT_ONCE = 512
+KEPT_PARTS = 600_000
+KEPT_WORDS = 400_000
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,"
@@ -48,35 +54,79 @@ class WordTokenizer:
     """Ids of texts by a tokenizer that drops white space, as little-endian 32-bit numbers.
 
     No token spans white space, so the ids of a text are those of its parts
-    between ASCII white space, one after the other; each part is encoded once
-    and kept.
+    between ASCII white space, one after the other.  A part of Latin letters,
+    digits and marks splits into lower-case words; words and parts are encoded
+    once and kept.  Every other part goes through the tokenizer as it is.
     """
 
+    WORD_END = "</w>"
+
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[bytes, bytes] = {}
-
-    def _learn(self, words: Iterable[bytes]) -> None:
-        if len(self._known) > CACHED_WORDS:
-            self._known.clear()
-        new = list({word for word in words if word not in self._known})
-        encoded = self._tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        for word, made in zip(new, encoded):
-            self._known[word] = b"".join(n.to_bytes(ID_BYTES, "little") for n in made.ids)
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+        size = self._tokenizer.get_vocab_size()
+        tokens = [self._tokenizer.id_to_token(n) or "" for n in range(size)]
+        self._ends = [token.endswith(self.WORD_END) for token in tokens]
+        self._parts: dict[bytes, bytes] = {}
+        self._words: dict[str, bytes] = {}
+        # Code points whose case and kind no library disagrees about, and the split into words.
+        self._plain = re.compile("[!-~\u00a1-\u012f\u0131-\u024f]+").fullmatch
+        self._split = regex.compile(
+            r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+        ).findall
+
+    @classmethod
+    def of_worker(cls, path: str) -> WordTokenizer:
+        kept = kept_by_worker()
+        return kept.get(("tokenizer", path)) or kept.setdefault(("tokenizer", path), cls(path))
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Encode many words at a time; the last token of each word is marked."""
+        for start in range(0, len(words), 64):
+            some, at, ids = words[start : start + 64], 0, []
+            for n in self._ids([" ".join(some)])[0]:
+                ids.append(n)
+                if self._ends[n]:
+                    self._words[some[at]] = struct.pack(f"<{len(ids)}I", *ids)
+                    at, ids = at + 1, []
+
+    def _learn(self, parts: set[bytes]) -> None:
+        if len(self._parts) + len(parts) > KEPT_PARTS:
+            self._parts.clear()
+        if len(self._words) > KEPT_WORDS:
+            self._words.clear()
+        plain, other = {}, []
+        for part in parts:
+            text = part.decode()
+            if self._plain(text) and b"<|" not in part:  # may hold the name of a special token
+                plain[part] = self._split(text.lower())
+            else:
+                other.append((part, text))
+        known = self._words
+        self._learn_words(list({word for words in plain.values() for word in words if word not in known}))
+        for part, words in plain.items():
+            self._parts[part] = b"".join([known[word] for word in words])
+        for (part, _), ids in zip(other, self._ids([text for _, text in other])):
+            self._parts[part] = struct.pack(f"<{len(ids)}I", *ids)
+
+    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         split = [(text or "").encode().split() for text in texts]
-        out, known = [], self._known
-        for start in range(0, len(split), 64):
-            some = split[start : start + 64]
-            missing = [w for words in some for w in words if w not in known]
-            if missing:
-                self._learn(w for words in some for w in words)
-            out += [b"".join([known[w] for w in words]) for words in some]
-        return out
+        new = set().union(*split).difference(self._parts)
+        if new:
+            known = len(self._parts)
+            with no_cycle_search():
+                self._learn(new)
+                if len(self._parts) < known:  # old ones were let go
+                    self._learn(set().union(*split).difference(self._parts))
+        parts = self._parts
+        for words in split:
+            yield b"".join([parts[w] for w in words])
 
 
 @dataclass(order=True, slots=True)
@@ -195,7 +245,7 @@ def _packed(path: str, tiers: tuple[int, ...], pool_tokens: int, group_tokens: i
     names = [x.split()[0] for x in SCHEMA.split(", ")]
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, packer = WordTokenizer(path), TierPacker(tiers)
+        tokenizer, packer = WordTokenizer.of_worker(path), TierPacker(tiers)
         first = TaskContext.get().partitionId() << 40
         sequences, groups = first, first
 
@@ -220,9 +270,9 @@ def _packed(path: str, tiers: tuple[int, ...], pool_tokens: int, group_tokens: i
         end = END_ID.to_bytes(ID_BYTES, "little")
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for start in range(0, len(ids), 256):
-                some = tokenizer.encode(texts.slice(start, 256).to_pylist())
-                for doc_id, encoded in zip(ids[start : start + 256], some):
+            for start in range(0, len(ids), TEXTS_AT_ONCE):
+                some = tokenizer.encode(texts.slice(start, TEXTS_AT_ONCE).to_pylist())
+                for doc_id, encoded in zip(ids[start : start + TEXTS_AT_ONCE], some):
                     packer.add((doc_id, len(encoded) // ID_BYTES + 1), encoded + end)
                     if packer.held > pool_tokens or len(packer.finished) > 4096:
                         yield emitted(False)

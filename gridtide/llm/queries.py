@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtide.llm import bpe, decision_list, kd_shards, packing, url_filter, warc
+from gridtide.llm import (
+    bpe,
+    decision_list,
+    jaccard_join,
+    kd_shards,
+    license_scan,
+    packing,
+    quality_classifier,
+    topk_search,
+    url_filter,
+    warc,
+)
 from gridtide.llm.common import table
 from gridtide.llm.doc_stats import with_counts
 from gridtide.sources.tables import shared_folder
@@ -19,6 +30,16 @@ URL_RULES = [
 ]
 
 
+TOP_K = 10
+QUERY_STEP = 50  # every row whose id it divides is a query
+
+
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code = topk_search.sign_code(F.col("embedding"))
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), code.alias("code"))
+    return topk_search.search(rows, rows.where(F.col("id") % QUERY_STEP == 0), TOP_K)
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("id"), "url", F.col("html").alias("payload")
@@ -36,6 +57,21 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    ratings = quality_classifier.graded(table(spark, sf_dir, "labels"))
+    model = quality_classifier.fit(docs, ratings)
+    return quality_classifier.score(docs, model, ["doc_id"])
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licences(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -68,7 +104,11 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_topk_search": op1_topk_search,
     "op2_warc": op2_warc,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op4_license_scan": op4_license_scan,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_packing": op6_packing,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
