@@ -1,0 +1,81 @@
+"""The pipeline against brute-force decisions, stage by stage."""
+
+from __future__ import annotations
+
+import pytest
+from test_jaccard_join import brute as components
+from test_quality import brute as base_counts
+
+import corpus_pipeline
+from corpus_pipeline import COLUMNS, distinct_texts, pack, quality_rules, quality_select, run
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """Rows after each stage that keeps documents."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    frames = [docs]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        frames.append(corpus_pipeline.stored(stage(spark, frames[-1], SF_DIR), "test-stage"))
+    return [frame.toPandas().set_index("doc_id") for frame in frames]
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.read.parquet(f"{SF_DIR}/labels.parquet").toPandas().set_index("doc_id")
+
+
+def test_columns_and_rows_are_those_of_the_input(stages):
+    raw = stages[0]
+    for kept in stages[1:]:
+        assert sorted([kept.index.name, *kept.columns]) == sorted(COLUMNS)
+        assert kept.index.is_unique and kept.equals(raw.loc[kept.index])
+
+
+def test_quality_rules(stages, labels):
+    raw, kept = stages[0], stages[1]
+    failed = {
+        n for n, text in raw.text.items()
+        for c in [base_counts(text)]
+        if c[0] < 50 or 100 * c[4] > 50 * c[0]
+    }
+    assert not failed & set(kept.index)
+    good = set(labels.index[labels.quality == 1]) - failed
+    bad = set(labels.index[labels.quality == 0])
+    assert good <= set(kept.index) and len(bad & set(kept.index)) <= 0.02 * len(bad)
+
+
+def test_classifier_keeps_clean_and_drops_toxic(stages, labels):
+    before, after = set(stages[1].index), set(stages[2].index)
+    clean = set(labels.index[(labels.quality == 1) & (labels.toxic == 0)]) & before
+    toxic = set(labels.index[labels.toxic == 1]) & before
+    assert len(clean - after) <= 0.01 * len(clean) and not toxic & after
+
+
+def test_one_of_each_group_stays(stages):
+    before, after = stages[2], stages[3]
+    want = {n for n, (_, root) in components(before.text.to_dict()).items() if n == root}
+    assert set(after.index) == want
+
+
+def test_packing_covers_what_is_left(spark, stages):
+    pieces = run(spark, SF_DIR).toPandas()
+    assert set(pieces.doc_id) == set(stages[3].index)
+    sums = pieces.groupby("doc_id").agg({"length": "sum", "doc_tokens": "first"})
+    assert (sums.length == sums.doc_tokens).all()
+
+
+def test_stages_take_nulls_repeats_and_no_rows(spark):
+    rows = [(1, None, None, None, None), (None, "a b", "en", "s", 3), (2, "word " * 80, "en", "s", 1)]
+    text = " ".join(f"w{n}" for n in range(80))
+    rows += [(3, text, "en", "s", 1), (3, text, "en", "s", 1), (4, text, "en", "s", 1), (None, text, "x", "y", 0)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows, schema)
+    kept = quality_rules(spark, docs, SF_DIR)
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 3, 3, 4]
+    once = distinct_texts(spark, kept, SF_DIR)
+    assert sorted(r.doc_id or 0 for r in once.collect()) == [0, 3]
+    for stage in (quality_rules, quality_select, distinct_texts, pack):
+        assert stage(spark, docs.limit(0), SF_DIR).count() == 0
