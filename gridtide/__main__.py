@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession
 
 from gridtide.plans.rebuild import day_range, yesterday
 from gridtide.sources.documents import market_records, read_documents
-from gridtide.sources.json_lines import write_lines
+from gridtide.sources.json_lines import FILES_PER_BATCH, write_lines
 from gridtide.streaming.ingest import MARKET, WEATHER, start_ingest
 
 FEEDS = {"market": MARKET, "weather": WEATHER}
@@ -34,7 +34,7 @@ def _arguments() -> argparse.Namespace:
     ingest = jobs.add_parser("ingest", help="newly landed files to cleaned tables")
     ingest.add_argument("--landing", required=True)
     ingest.add_argument("--checkpoint", required=True)
-    ingest.add_argument("--files-per-batch", type=int)
+    ingest.add_argument("--files-per-batch", type=int, default=FILES_PER_BATCH)
     rebuild = jobs.add_parser("rebuild", help="cleaned tables to analysis tables")
     rebuild.add_argument("--first", type=date.fromisoformat)
     rebuild.add_argument("--last", type=date.fromisoformat)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gridtide.functions.temporal import compact_text, hour_floor, iso_text
 from gridtide.operators import market, weather
 from gridtide.plans.views import Tables
-from gridtide.schemas import MARKET_CLEAN, MARKET_RECORD, WEATHER_RECORD, conform
+from gridtide.schemas import MARKET_CLEAN, MARKET_RECORD, WEATHER_CLEAN, WEATHER_RECORD, conform
 
 DAY = "2024-01-15"
 FIRST_DAY = "2024-01-01"
@@ -48,33 +48,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str, keys: list[str]) -> DataFrame:
-    """A table spread over all cores when its files give fewer splits than there are cores.
+def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every supplier as an area; its region as the country.
 
-    A small table in one row group would otherwise keep one core busy with all
-    the work before the first shuffle.  A table with enough splits is read
-    where it lies, without that exchange.
+    Areas grow in step with the fact rows, so the share of rows that keep-last
+    drops is the same at every scale.
     """
-    rows = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, *keys)
-
-
-def _with_nation(rows: DataFrame, nation_key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Add nation and region names to rows that carry the key of a nation."""
     nation = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey")
     )
-    return rows.join(nation, F.expr(f"{nation_key} = n_nationkey"))
+    return table(spark, sf_dir, "supplier").join(nation, F.expr("s_nationkey = n_nationkey"))
+
+
+def _with_area(rows: DataFrame, area: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rows.join(areas(spark, sf_dir), F.expr(f"{area} = s_suppkey"))
 
 
 _AREA = [
     "r_name AS country_code",
     "r_name AS country",
-    "CAST(n_nationkey AS BIGINT) AS area_code",
-    "n_name AS area_name",
+    "s_suppkey AS area_code",
+    "s_name AS area_name",
 ]
 
+# There are 15 customers and 1.5 users to a supplier.
+LOAD_AREA = "o_custkey DIV 15"
+WEATHER_AREA = "user_id * 2 DIV 3"
+
 
 def _hours_on(hours: str) -> str:
     return f"timestampadd(HOUR, {hours}, TIMESTAMP_NTZ'{FIRST_DAY} 00:00:00')"
@@ -87,14 +87,12 @@ def _day_text(day_of_month: str) -> str:
 
 def generation_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A generation, forecast and price reading per line item."""
-    joined = (
-        spread_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey"])
-        .join(table(spark, sf_dir, "supplier"), F.expr("l_suppkey = s_suppkey"))
-        .join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
+    joined = table(spark, sf_dir, "lineitem").join(
+        table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey")
     )
     hour = "(l_orderkey * 7 + l_linenumber) % 720"
     time = _hours_on(hour)
-    return _with_nation(joined, "s_nationkey", spark, sf_dir).selectExpr(
+    return _with_area(joined, "l_suppkey", spark, sf_dir).selectExpr(
         f"to_date({time}) AS event_date",
         f"{time} AS timestamp_utc",
         *_AREA,
@@ -134,28 +132,29 @@ def forecast_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A load reading per order."""
-    joined = spread_table(spark, sf_dir, "orders", ["o_orderkey"]).join(
-        table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey")
-    )
+    orders = table(spark, sf_dir, "orders")
     time = _hours_on("(o_orderkey * 7 + 1) % 720")
-    return _with_nation(joined, "c_nationkey", spark, sf_dir).selectExpr(
+    return _with_area(orders, LOAD_AREA, spark, sf_dir).selectExpr(
         f"to_date({time}) AS event_date",
         f"{time} AS timestamp_utc",
         *_AREA,
         "IF(o_orderstatus = 'O', 'day_ahead_total_load_forecast', 'actual_total_load') AS dataset",
         "IF(o_orderpriority = '5-LOW', 0.0D, o_totalprice / 1000) AS quantity_mw",
+        "IF(o_orderstatus = 'O', 'day_ahead', 'realised') AS process_type_label",
+        f"{_day_text('(o_orderkey * 7 + 1) % 720 DIV 24 + 1')} AS period_start",
+        f"{_day_text('(o_orderkey * 7 + 1) % 720 DIV 24 + 2')} AS period_end",
         "'PT60M' AS resolution",
         "'MAW' AS unit",
         "'entsoe' AS source",
-        "o_orderdate AS ingested_at",
+        "IF(o_orderpriority = '1-URGENT', NULL, o_orderdate) AS ingested_at",
         *LOAD_TIES,
     )
 
 
 def weather_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A weather observation per event."""
-    events = spread_table(spark, sf_dir, "events", ["event_id"])
-    return _with_nation(events, "user_id % 25", spark, sf_dir).select(
+    events = table(spark, sf_dir, "events")
+    return _with_area(events, WEATHER_AREA, spark, sf_dir).select(
         F.expr("to_date(ts)").alias("event_date"),
         hour_floor("ts").alias("observation_timestamp_utc"),
         *[
@@ -163,7 +162,7 @@ def weather_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
             for value in (
                 "r_name AS country_code",
                 "r_name AS country",
-                "n_name AS bidding_zone",
+                "s_name AS bidding_zone",
                 "CASE event_type WHEN 'click' THEN 'solar' WHEN 'signup' THEN 'solar'"
                 " WHEN 'view' THEN 'wind-onshore' WHEN 'purchase' THEN 'wind-offshore'"
                 " ELSE 'other' END AS technology",
@@ -263,8 +262,7 @@ def _numbered(df: DataFrame) -> DataFrame:
     return df.withColumn("line_id", F.concat_ws("-", *[F.col(p).cast("string") for p in parts]))
 
 
-def market_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed market records: one per line item, some without data, time or product code."""
+def _market_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = _numbered(generation_readings(spark, sf_dir))
     # Lines of an order land one after another in the early hours of the next day.
     landed = F.timestamp_add(
@@ -273,7 +271,7 @@ def market_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     no_time = F.when(F.col("l_tax") == 0.07, F.lit("")).otherwise(iso_text("timestamp_utc"))
     status = F.when(F.col("l_tax") == 0.0, "no_data").otherwise("ok")
     blank_product = F.when(F.col("technology") == "fossil_gas", F.lit(""))
-    made = readings.withColumns(
+    return readings.withColumns(
         {
             "timestamp_utc": no_time,
             "ingested_at": iso_text(landed),
@@ -289,7 +287,30 @@ def market_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             "status": status,
         }
     )
-    return conform(made, MARKET_RECORD)
+
+
+def market_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed market records: one per line item, some without data, time or product code."""
+    return conform(_market_rows(spark, sf_dir), MARKET_RECORD)
+
+
+def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed lines, one per line item; the tax rate decides what is wrong with them."""
+    tax = F.col("l_tax")
+    rows = _market_rows(spark, sf_dir).withColumns(
+        {
+            "dataset": F.when(tax != 0.05, F.col("dataset")),
+            "timestamp_utc": F.when(tax == 0.03, "0812-01-01T00:00Z").otherwise(
+                F.col("timestamp_utc")
+            ),
+            "quantity_mw": F.when(tax == 0.04, "much").otherwise(
+                F.col("quantity_mw").cast("string")
+            ),
+        }
+    )
+    line = F.to_json(F.struct("l_tax", *[n for n in MARKET_RECORD.names if n in rows.columns]))
+    cut = F.when(tax == 0.06, F.lit('{"status": ')).otherwise(line)
+    return rows.select(cut.alias("value"))
 
 
 def weather_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -310,15 +331,34 @@ def weather_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned generation and load readings of three datasets; some lack a day."""
-    generation = generation_readings(spark, sf_dir).withColumns(
+    """Cleaned readings of all six market datasets; some of generation lack a day.
+
+    One pass over the line items gives each its generation, price and forecast row.
+    """
+    generation = F.lit("actual_generation_per_production_type")
+    price = F.lit("day_ahead_energy_prices")
+    day = F.when((F.col("dataset") != generation) | (F.col("l_tax") != 0.08), F.col("event_date"))
+    lines = generation_readings(spark, sf_dir).withColumn(
+        "dataset", F.explode(F.array(generation, price, F.col("forecast_dataset")))
+    )
+    is_price = F.col("dataset") == price
+    quantity = F.when(F.col("dataset") == generation, F.col("quantity_mw")).when(
+        ~is_price, F.col("forecast_mw")
+    )
+    made = lines.withColumns(
         {
-            "dataset": F.lit("actual_generation_per_production_type"),
-            "event_date": F.when(F.col("l_tax") != 0.08, F.col("event_date")),
+            "event_date": day,
+            "quantity_mw": quantity,
+            "price_amount": F.when(is_price, F.col("price_amount")),
         }
     )
     load = load_readings(spark, sf_dir)
-    return conform(generation, MARKET_CLEAN).unionByName(conform(load, MARKET_CLEAN))
+    return conform(made, MARKET_CLEAN).unionByName(conform(load, MARKET_CLEAN))
+
+
+def clean_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned weather observations."""
+    return conform(weather_readings(spark, sf_dir), WEATHER_CLEAN)
 
 
 def _element(tag: str, *content: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridtide.catalog import inputs
@@ -58,6 +58,7 @@ from gridtide.schemas import (
     MARKET_CLEAN,
     MARKET_RECORD,
     TABLES,
+    WEATHER_CLEAN,
     WEATHER_RECORD,
     conform,
 )
@@ -85,37 +86,47 @@ def _table(name: str) -> Query:
     return lambda spark, sf_dir: inputs.tables(spark, sf_dir)[name]
 
 
-def _over_tables(build: Callable[..., DataFrame], *args: str) -> Query:
-    return lambda spark, sf_dir: build(inputs.tables(spark, sf_dir), *args)
-
-
 QUERIES |= {name: _table(name) for name in TABLES}
-QUERIES |= {
-    "table_row_counts": _over_tables(reports.table_row_counts),
-    "area_lookup": _over_tables(views.area_lookup),
-    "v_supply_demand": _over_tables(views.supply_demand),
-    "v_daily_renewable_share": _over_tables(views.daily_renewable_share),
-    "v_solar_performance": _over_tables(views.solar_performance),
-    "v_wind_performance": _over_tables(views.wind_performance),
-    "q01_hourly_solar": _over_tables(reports.hourly_solar, inputs.DAY),
-    "q02_daily_solar_conversion": _over_tables(reports.daily_solar_conversion),
-    "q03_solar_corr": _over_tables(reports.solar_correlation),
-    "q04_hourly_wind": _over_tables(reports.hourly_wind, inputs.DAY),
-    "q05_wind_corr": _over_tables(reports.wind_correlation),
-    "q06_wind_buckets": _over_tables(reports.wind_buckets),
-    "q07_irradiance_buckets": _over_tables(reports.irradiance_buckets),
-    "q08_normalized_peak": _over_tables(reports.normalized_peak),
-    "q09_weather_score": _over_tables(reports.weather_score),
-    "q10_forecast_error": _over_tables(reports.forecast_error, inputs.DAY),
-    "q11_error_vs_weather": _over_tables(reports.error_against_weather),
-    "q12_load_coverage": _over_tables(reports.load_coverage, inputs.DAY),
-    "q13_solar_efficiency": _over_tables(reports.solar_efficiency),
-    "q14_wind_underperformance": _over_tables(reports.wind_underperformance),
-    "q15_monthly_benchmark": _over_tables(reports.monthly_benchmark),
-    "readme_daily_share": _over_tables(reports.average_daily_share, inputs.FIRST_DAY),
+
+# Views and reports: what builds them from the tables, and with which arguments.
+OVER_TABLES: dict[str, tuple] = {
+    "table_row_counts": (reports.table_row_counts,),
+    "area_lookup": (views.area_lookup,),
+    "v_supply_demand": (views.supply_demand,),
+    "v_daily_renewable_share": (views.daily_renewable_share,),
+    "v_solar_performance": (views.solar_performance,),
+    "v_wind_performance": (views.wind_performance,),
+    "q01_hourly_solar": (reports.hourly_solar, inputs.DAY),
+    "q02_daily_solar_conversion": (reports.daily_solar_conversion,),
+    "q03_solar_corr": (reports.solar_correlation,),
+    "q04_hourly_wind": (reports.hourly_wind, inputs.DAY),
+    "q05_wind_corr": (reports.wind_correlation,),
+    "q06_wind_buckets": (reports.wind_buckets,),
+    "q07_irradiance_buckets": (reports.irradiance_buckets,),
+    "q08_normalized_peak": (reports.normalized_peak,),
+    "q09_weather_score": (reports.weather_score,),
+    "q10_forecast_error": (reports.forecast_error, inputs.DAY),
+    "q11_error_vs_weather": (reports.error_against_weather,),
+    "q12_load_coverage": (reports.load_coverage, inputs.DAY),
+    "q13_solar_efficiency": (reports.solar_efficiency,),
+    "q14_wind_underperformance": (reports.wind_underperformance,),
+    "q15_monthly_benchmark": (reports.monthly_benchmark,),
+    "readme_daily_share": (reports.average_daily_share, inputs.FIRST_DAY),
 }
 
 
+def report(name: str, tables: views.Tables) -> DataFrame:
+    build, *args = OVER_TABLES[name]
+    return build(tables, *args)
+
+
+def _over_tables(name: str) -> Query:
+    return lambda spark, sf_dir: report(name, inputs.tables(spark, sf_dir))
+
+
+QUERIES |= {name: _over_tables(name) for name in OVER_TABLES}
+
+
 # --- documents -------------------------------------------------------------------
 
 _STATUS_COLUMNS = [
@@ -200,6 +211,19 @@ def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_status(spark, sf_dir, "request_failed").select(*_STATUS_COLUMNS, "error")
 
 
+@registered("unknown_documents")
+def unknown_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of unknown type keep their whole text beside the preview."""
+    xml = F.col("raw_xml")
+    return _with_status(spark, sf_dir, "unknown_response_type").select(
+        *_STATUS_COLUMNS,
+        "response_type",
+        F.regexp_extract(xml, "mRID>([^<]*)<", 1).alias("document_id"),
+        xml.endswith("Publication_MarketDocument>").alias("is_whole"),
+        F.startswith(xml, F.col("raw_xml_preview")).alias("preview_fits"),
+    )
+
+
 @registered("position_to_ts")
 def position_to_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = inputs.generation_readings(spark, sf_dir)
@@ -240,8 +264,6 @@ def jsonl_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = storage.shared_folder(spark, "landed")
     json_lines.write_lines(inputs.market_records(spark, sf_dir), path)
     lines = json_lines.readable(json_lines.read_lines(spark, path, MARKET_RECORD))
-    parts = ["year", "month", "day", "hour"]
-    found = F.regexp_extract_all(json_lines.SOURCE_FILE, F.lit(r"(?:year|month|day|hour)=(\d+)"), 1)
     return lines.select(
         "document_mrid",
         "dataset",
@@ -251,7 +273,10 @@ def jsonl_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "psr_type",
         to_number("quantity_mw").alias("quantity_mw"),
         "status",
-        *[found[n].alias(part) for n, part in enumerate(parts)],
+        "year",
+        "month",
+        "day",
+        "hour",
     )
 
 
@@ -280,7 +305,7 @@ def jsonl_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("envelope_enrich")
 def envelope_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = inputs.table(spark, sf_dir, "events").select("event_id", "ts", "value")
+    events = inputs.table(spark, sf_dir, "events")
     return json_lines.with_envelope(events, iso_text("ts"), "open-meteo", "current")
 
 
@@ -368,18 +393,20 @@ def schema_evolution_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("write_counts")
 def write_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return storage.count_by(inputs.clean_readings(spark, sf_dir), "dataset")
+    """Rows per dataset that a write has added to the table."""
+    path = _stored_readings(spark, sf_dir)
+    return storage.count_by(storage.read_table(spark, path, MARKET_CLEAN), "dataset")
 
 
 @registered("series_manifest")
 def series_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Expected series of every nation against the readings received."""
-    nation = inputs.table(spark, sf_dir, "nation")
+    """Expected series of every area against the readings received."""
+    suppliers = inputs.areas(spark, sf_dir)
     explicit = F.array(F.lit("actual_total_load"), F.lit("day_ahead_energy_prices"), F.lit("other"))
     use_for = F.when(F.col("n_regionkey") == 0, explicit).otherwise(F.array(F.lit(EVERY_DATASET)))
-    areas = nation.select(
-        F.col("n_nationkey").cast("string").alias("area_code"),
-        F.col("n_name").alias("area_name"),
+    areas = suppliers.select(
+        F.col("s_suppkey").cast("string").alias("area_code"),
+        F.col("s_name").alias("area_name"),
         use_for.alias("use_for"),
     )
     expected = expected_series.expected_series(areas)
@@ -390,14 +417,21 @@ def series_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and measure totals per rebuilt table and day."""
     clean_path = _stored_readings(spark, sf_dir)
+    weather_path = storage.shared_folder(spark, "clean-weather")
+    storage.append_partitioned(inputs.clean_weather(spark, sf_dir), weather_path, ["event_date"])
     root = storage.shared_folder(spark, "tables")
     days = ["2024-01-14", inputs.DAY, "2024-01-16"]
     rebuild.rebuild_market(spark, clean_path, root, days)
+    rebuild.rebuild_weather(spark, weather_path, root, days)
     tables = rebuild.open_tables(spark, root)
     measures = {
         "fact_generation": "quantity_mw",
         "fact_load": "quantity_mw",
+        "fact_prices": "price_amount",
+        "fact_generation_forecast": "quantity_mw",
         "agg_daily_generation_mix": "total_mwh",
+        "fact_hourly_weather": "wind_direction_100m",
+        "agg_daily_bidding_zone": "observation_count",
     }
     totals = [
         tables[name]
@@ -480,7 +514,7 @@ def utc_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = (
         F.when(kind == "click", F.concat(seconds, F.lit("Z")))
         .when(kind == "view", F.concat(minutes, F.lit("Z")))
-        .when(kind == "purchase", F.concat(seconds, F.lit("+02:00")))
+        .when(kind == "purchase", F.concat(seconds, F.lit(".00000000000000000000000+02:00")))
         .when(kind == "signup", F.concat(minutes, F.lit("-05:30")))
         .when(F.col("value") < 50, F.lit(""))
         .when(F.col("value") < 100, F.lit("not a time"))
@@ -870,6 +904,25 @@ def agg_safe_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- named views -------------------------------------------------------------------
+
+
+@registered("views_registered")
+def views_registered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every named view, asked through SQL."""
+    views.register_views(inputs.tables(spark, sf_dir))
+    counts = [f"SELECT '{name}' AS view, COUNT(*) AS rows FROM {name}" for name in views.VIEWS]
+    return spark.sql(" UNION ALL ".join(counts))
+
+
+@registered("area_list")
+def area_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Areas by country and code, numbered in that order within each country."""
+    areas = views.area_lookup(inputs.tables(spark, sf_dir))
+    place = F.row_number().over(Window.partitionBy("country_code").orderBy("area_code"))
+    return areas.withColumn("place", place)
+
+
 # --- streaming -------------------------------------------------------------------
 
 
@@ -886,6 +939,35 @@ def stream_bronze_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_last(rows, [*clean.MARKET_KEY, "dataset"])
 
 
+@registered("stream_bronze_to_silver_weather")
+def stream_bronze_to_silver_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weather feed through the stream, then the latest row per key of all files."""
+    landing = storage.shared_folder(spark, "landing")
+    clean_path = storage.shared_folder(spark, "clean")
+    json_lines.write_lines(inputs.weather_records(spark, sf_dir), landing)
+    checkpoint = storage.shared_folder(spark, "progress")
+    query = ingest.start_ingest(
+        spark, ingest.WEATHER, landing, clean_path, checkpoint, feeds=["current"]
+    )
+    query.awaitTermination()
+    return keep_last(storage.read_table(spark, clean_path, WEATHER_CLEAN), clean.WEATHER_KEY)
+
+
+@registered("quarantine_lines")
+def quarantine_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines a stream has put aside or noted, and readings it has cleaned, by problem."""
+    landing = storage.shared_folder(spark, "landing")
+    clean_path = storage.shared_folder(spark, "clean")
+    inputs.faulty_lines(spark, sf_dir).write.text(landing)
+    checkpoint = storage.shared_folder(spark, "progress")
+    query = ingest.start_ingest(
+        spark, ingest.MARKET, landing, clean_path, checkpoint, glob="*.txt"
+    )
+    query.awaitTermination()
+    aside = spark.read.parquet(ingest.quarantine_of(clean_path))
+    return aside.groupBy("problem", "lost").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 @registered("stream_late_rebuild")
 def stream_late_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load that arrives in two parts; late rows replace earlier ones in the fact."""

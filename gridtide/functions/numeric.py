@@ -22,12 +22,12 @@ def to_number(value: Column | str) -> Column:
 def round_half_up(value: Column | str, digits: int) -> Column:
     """Round through a decimal, so the result does not depend on summation noise.
 
-    Doubles at or above 1e15 keep no digits worth rounding and do not fit the
-    decimal; they pass unchanged, as do NaN and infinities.
+    A double from 2^53 on is a whole number and passes unchanged, as do NaN and
+    infinities; every smaller one fits the decimal.
     """
     number = as_column(value)
     rounded = F.round(number.cast("decimal(30,10)"), digits).cast("double")
-    return F.when(F.abs(number) < F.lit(1e15), rounded).otherwise(number)
+    return F.when(F.abs(number) < F.lit(2.0**53), rounded).otherwise(number)
 
 
 def safe_ratio(numerator: Column | str, denominator: Column | str) -> Column:

@@ -12,10 +12,6 @@ from pyspark.sql import functions as F
 from gridtide.functions.numeric import as_column
 from gridtide.reference_data import RESOLUTION_MINUTES
 
-# Offsets beyond this many minutes leave the years a timestamp can hold.
-_FARTHEST_MINUTES = 4_000_000_000
-
-
 def _epoch() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
@@ -39,7 +35,7 @@ def utc_from_text(text: Column | str) -> Column:
     text = F.trim(as_column(text))
     # A bare time of day is no instant, though a cast would read it as today's.
     is_dated = (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
-    head, tail = F.substring(text, 1, 16), F.substring(text, 17, 24)
+    head, tail = F.substring(text, 1, 16), F.substring(text, F.lit(17), F.length(text))
     seconds = F.when(tail.startswith(":"), F.lit("")).otherwise(F.lit(":00"))
     has_offset = tail.endswith("Z") | tail.contains("+") | tail.contains("-")
     offset = F.when(has_offset, F.lit("")).otherwise(F.lit("Z"))
@@ -92,6 +88,9 @@ def position_time(start: Column | str, resolution: Column | str, position: Colum
     """Time of a reading from its 1-based position; null for an unknown resolution."""
     step = F.create_map(*[F.lit(v) for pair in RESOLUTION_MINUTES.items() for v in pair])
     minutes = F.try_element_at(step, as_column(resolution)).cast("long")
-    offset = (as_column(position).cast("long") - 1) * minutes
-    offset = F.when(F.abs(offset) <= _FARTHEST_MINUTES, offset)
-    return F.timestamp_add("MINUTE", offset, as_column(start))
+    steps = F.try_subtract(as_column(position).cast("long"), F.lit(1))
+    # A product or sum beyond the range of its type is null, not an error.
+    micros = F.try_multiply(F.try_multiply(steps, minutes), F.lit(60_000_000))
+    start = as_column(start)
+    end = F.try_add(F.unix_micros(start.cast("timestamp")), micros)
+    return F.timestamp_add("MICROSECOND", F.when(end.isNotNull(), micros), start)

@@ -13,6 +13,9 @@ from gridtide.operators.keep_last import keep_last_of_day
 from gridtide.reference_data import RENEWABLE_WEATHER, WEATHER_LIMITS
 from gridtide.schemas import AGG_DAILY_BIDDING_ZONE, FACT_HOURLY_WEATHER, conform
 
+# With the limits of wind speed this bounds the distinct speeds of the percentile.
+WIND_SPEED_DIGITS = 3
+
 WEATHER_FACT_KEY = ["observation_timestamp_utc", "cluster_name"]
 
 ZONE_GROUP = [
@@ -49,6 +52,7 @@ def fact_hourly_weather(
     latest = null_outside_limits(keep_last_of_day(observations, key, tiebreak=tiebreak), limits)
     labelled = latest.withColumns(
         {
+            "wind_speed_100m": round_half_up("wind_speed_100m", WIND_SPEED_DIGITS),
             "technology_group": technology_group("technology"),
             "is_renewable": is_member("technology", renewable),
         }
@@ -80,47 +84,24 @@ def kwh_per_m2(total: Column) -> Column:
     return round_half_up(total / 1000, 3)
 
 
-def _sum(name: str) -> str:
-    return f"{name}_sum"
-
-
-def _count(name: str) -> str:
-    return f"{name}_count"
-
-
 def daily_bidding_zone(weather: DataFrame) -> DataFrame:
     """Daily weather per zone and technology, with the exact 90th wind percentile.
 
-    The aggregation has two levels.  The first groups by zone key *and* wind
-    speed, which turns readings into a histogram with partial sums beside it.
-    The second merges the histogram per zone.  Wind speed is cleaned to three
-    decimals and limited to 0..120, so a zone has at most 120 001 bins however
-    many readings it holds, and a zone with a third of all readings is spread
-    over its bins in the first shuffle.
+    One grouping, combined before the shuffle.  The percentile counts readings
+    per distinct wind speed; the fact holds speeds of 0 to 120 with three
+    decimals, so a zone has at most 120 001 counts however many readings it has,
+    and one partial count per task crosses the shuffle for a hot zone.
+    Where the percentile is not asked for, it is not computed.
     """
-    wind = "wind_speed_100m"
-    summed = sorted({*_MEANS.values(), "precipitation"} - {wind})
-    partial = [F.count("observation_timestamp_utc").alias("observations")]
-    partial.append(F.count(wind).alias(_count(wind)))
-    partial += [F.sum(name).alias(_sum(name)) for name in summed]
-    partial += [F.count(name).alias(_count(name)) for name in summed]
-    partial += [F.min(source).alias(name) for name, source in _LOWEST.items()]
-    partial += [F.max(source).alias(name) for name, source in _HIGHEST.items() if source != wind]
-    bins = weather.groupBy(*ZONE_GROUP, wind).agg(*partial)
-    bins = bins.withColumn(_sum(wind), F.col(wind) * F.col(_count(wind)))
-
-    def mean(name: str) -> Column:
-        return F.sum(_sum(name)) / F.nullif(F.sum(_count(name)), F.lit(0))
-
-    final = {name: mean(source) for name, source in _MEANS.items()}
-    final |= {name: F.min(name) for name in _LOWEST}
-    final |= {name: F.max(name if source != wind else wind) for name, source in _HIGHEST.items()}
-    final["precipitation_sum_mm"] = F.coalesce(F.sum(_sum("precipitation")), F.lit(0.0))
-    # A bin without wind has frequency 0 and adds nothing to the percentile.
-    final["wind_speed_100m_p90"] = F.percentile(wind, 0.9, F.col(_count(wind)))
+    final = {name: F.avg(source) for name, source in _MEANS.items()}
+    final |= {name: F.min(source) for name, source in _LOWEST.items()}
+    final |= {name: F.max(source) for name, source in _HIGHEST.items()}
+    final["precipitation_sum_mm"] = F.coalesce(F.sum("precipitation"), F.lit(0.0))
+    speed = round_half_up("wind_speed_100m", WIND_SPEED_DIGITS)
+    final["wind_speed_100m_p90"] = F.percentile(speed, 0.9)
     rounded = {name: round_half_up(value, 3) for name, value in final.items()}
-    rounded["shortwave_daily_kwh_m2"] = kwh_per_m2(F.sum(_sum("shortwave_radiation")))
-    rounded["gti_daily_kwh_m2"] = kwh_per_m2(F.sum(_sum("global_tilted_irradiance")))
-    rounded["observation_count"] = F.sum("observations")
-    daily = bins.groupBy(*ZONE_GROUP).agg(*[v.alias(k) for k, v in rounded.items()])
+    rounded["shortwave_daily_kwh_m2"] = kwh_per_m2(F.sum("shortwave_radiation"))
+    rounded["gti_daily_kwh_m2"] = kwh_per_m2(F.sum("global_tilted_irradiance"))
+    rounded["observation_count"] = F.count("observation_timestamp_utc")
+    daily = weather.groupBy(*ZONE_GROUP).agg(*[v.alias(k) for k, v in rounded.items()])
     return conform(daily, AGG_DAILY_BIDDING_ZONE)

@@ -38,6 +38,11 @@ def day_range(first: date, last: date) -> list[str]:
     return [(first + timedelta(days=n)).isoformat() for n in range((last - first).days + 1)]
 
 
+def _texts_of(days: Iterable[str] | None) -> list[str]:
+    """Days as text: yesterday where none are named, nothing for an empty list."""
+    return [str(day) for day in ([yesterday()] if days is None else days)]
+
+
 def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
@@ -73,7 +78,7 @@ def rebuild_market(
     none of them.  A table that is rebuilt reads all its datasets, since its
     days are replaced as a whole.
     """
-    days = [str(day) for day in (days or [yesterday()])]
+    days = _texts_of(days)
     changed = None if changed is None else set(changed)
     counts = {}
     for name, (datasets, build) in MARKET_FACTS.items():
@@ -97,7 +102,7 @@ def rebuild_weather(
 
     Weather is one dataset, so ``changed`` makes no difference here.
     """
-    days = [str(day) for day in (days or [yesterday()])]
+    days = _texts_of(days)
     observations = read_table(spark, clean, WEATHER_CLEAN, days)
     counts = {}
     name = "fact_hourly_weather"

@@ -72,67 +72,6 @@ ACTUAL_LOAD = "actual_total_load"
 
 EVERY_DATASET = "all_main_market_datasets"
 
-# Bidding zones: (country code, country, area code, area name, datasets to expect).
-BIDDING_ZONES = [
-    ("DE", "Germany", "10Y1001A1001A82H", "DE-LU", [
-        "actual_total_load",
-        "day_ahead_total_load_forecast",
-        "day_ahead_energy_prices",
-        "day_ahead_aggregated_generation",
-        "generation_forecast_wind_solar",
-        "actual_generation_per_production_type",
-    ]),
-    ("PL", "Poland", "10YPL-AREA-----S", "PL", [EVERY_DATASET]),
-    ("DK", "Denmark", "10YDK-1--------W", "DK1", [EVERY_DATASET]),
-    ("DK", "Denmark", "10YDK-2--------M", "DK2", [EVERY_DATASET]),
-    ("SE", "Sweden", "10Y1001A1001A44P", "SE1", [EVERY_DATASET]),
-    ("SE", "Sweden", "10Y1001A1001A45N", "SE2", [EVERY_DATASET]),
-    ("SE", "Sweden", "10Y1001A1001A46L", "SE3", [EVERY_DATASET]),
-    ("SE", "Sweden", "10Y1001A1001A47J", "SE4", [EVERY_DATASET]),
-    ("ES", "Spain", "10YES-REE------0", "ES", [EVERY_DATASET]),
-    ("FR", "France", "10YFR-RTE------C", "FR", [EVERY_DATASET]),
-    ("NL", "Netherlands", "10YNL----------L", "NL", [EVERY_DATASET]),
-    ("IT", "Italy", "10Y1001A1001A73I", "IT-North", [EVERY_DATASET]),
-    ("IT", "Italy", "10Y1001A1001A70O", "IT-Centre-North", [EVERY_DATASET]),
-    ("IT", "Italy", "10Y1001A1001A71M", "IT-Centre-South", [EVERY_DATASET]),
-    ("IT", "Italy", "10Y1001A1001A788", "IT-South", [EVERY_DATASET]),
-    ("IT", "Italy", "10Y1001A1001A75E", "IT-Sicily", [EVERY_DATASET]),
-    ("IT", "Italy", "10Y1001A1001A74G", "IT-Sardinia", [EVERY_DATASET]),
-    ("BE", "Belgium", "10YBE----------2", "BE", [EVERY_DATASET]),
-    ("AT", "Austria", "10YAT-APG------L", "AT", [EVERY_DATASET]),
-    ("CZ", "Czechia", "10YCZ-CEPS-----N", "CZ", [EVERY_DATASET]),
-    ("PT", "Portugal", "10YPT-REN------W", "PT", [EVERY_DATASET]),
-    ("RO", "Romania", "10YRO-TEL------P", "RO", [EVERY_DATASET]),
-    ("GR", "Greece", "10YGR-HTSO-----Y", "GR", [EVERY_DATASET]),
-]
-
-# Weather sites: (country code, country, bidding zone, technology, site, latitude, longitude).
-WEATHER_SITES = [
-    ("DE", "Germany", "DE-LU", "wind-onshore", "Reussenkoege Wind Farm", 54.5413, 8.4908),
-    ("PL", "Poland", "PL", "wind-onshore", "Potegowo Wind Farm", 54.5032, 17.4624),
-    ("DK", "Denmark", "DK1", "wind-offshore", "Horns Rev 3", 55.7030, 7.6890),
-    ("DK", "Denmark", "DK2", "wind-offshore", "Kriegers Flak", 55.0300, 12.9399),
-    ("SE", "Sweden", "SE1", "wind-onshore", "Markbygden Wind Farm", 65.3544, 20.9832),
-    ("SE", "Sweden", "SE2", "wind-onshore", "Blaiken Wind Farm", 65.2864, 17.2129),
-    ("SE", "Sweden", "SE3", "wind-offshore", "Vanern Wind Farm", 59.2611, 13.3861),
-    ("SE", "Sweden", "SE4", "wind-offshore", "Lillgrund Wind Farm", 55.5160, 12.8034),
-    ("ES", "Spain", "ES", "solar", "Francisco Pizarro Solar Farm", 39.5731, -5.7051),
-    ("FR", "France", "FR", "solar", "Cestas Solar Park", 44.7262, -0.8077),
-    ("NL", "Netherlands", "NL", "wind-offshore", "Hollandse Kust Zuid", 52.3667, 4.1167),
-    ("IT", "Italy", "IT-North", "solar", "Rovigo Photovoltaic Power Plant", 45.0358, 11.5722),
-    ("IT", "Italy", "IT-Centre-North", "solar", "Montalto di Castro Solar Farm", 42.3757, 11.5947),
-    ("IT", "Italy", "IT-Centre-South", "solar", "Italy Solar Farm 1", 42.1943, 12.0504),
-    ("IT", "Italy", "IT-South", "solar", "Troia Solar Farm", 41.3598, 15.3712),
-    ("IT", "Italy", "IT-Sicily", "solar", "Fenix Solar Farm", 37.5731, 14.8015),
-    ("IT", "Italy", "IT-Sardinia", "solar", "Guspini Solar Farm", 39.6099, 8.6244),
-    ("BE", "Belgium", "BE", "wind-offshore", "Northwester 2", 51.6859, 2.7570),
-    ("AT", "Austria", "AT", "wind-onshore", "Pretul Wind Farm", 47.5549, 15.7534),
-    ("CZ", "Czechia", "CZ", "solar", "FVE Ralsko Solar Farm", 50.6000, 14.8900),
-    ("PT", "Portugal", "PT", "solar", "Amareleja Solar Park", 38.1801, -7.2012),
-    ("RO", "Romania", "RO", "wind-onshore", "Fantanele-Cogealac Wind Farm", 44.6091, 28.5669),
-    ("GR", "Greece", "GR", "wind-onshore", "Kafireas Wind Farm", 38.0501, 24.5008),
-]
-
 # Technology labels: generation tables use an underscore, weather tables a hyphen.
 SOLAR = "solar"
 GENERATION_WIND = ["wind_onshore", "wind_offshore"]
@@ -189,8 +128,6 @@ WIND_TOP = "25+   m/s  storm"
 
 # Values written into the envelope and status columns of landed records.
 MARKET_SOURCE = "entsoe"
-WEATHER_SOURCE = "open-meteo"
-WEATHER_DATASET = "current"
 READINGS_ROOT = "GL_MarketDocument"
 ACKNOWLEDGEMENT_ROOT = "Acknowledgement_MarketDocument"
 STATUS_OK = "ok"

@@ -57,7 +57,7 @@ MARKET_RECORD = _schema(
     ("text", "value_type"),
     ("real", "quantity_mw price_amount"),
     ("text", "unit currency_unit price_measure_unit psr_type technology status"),
-    ("text", "response_type reason_code reason_text raw_xml_preview error"),
+    ("text", "response_type reason_code reason_text raw_xml_preview raw_xml error"),
 )
 
 WEATHER_RECORD = _schema(

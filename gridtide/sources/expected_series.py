@@ -4,37 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtide.reference_data import BIDDING_ZONES, EVERY_DATASET, MARKET_DATASETS, WEATHER_SITES
-
-
-def bidding_zones(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        BIDDING_ZONES,
-        "country_code string, country string, area_code string, area_name string,"
-        " use_for array<string>",
-    )
-
-
-def weather_sites(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        WEATHER_SITES,
-        "country_code string, country string, bidding_zone string, technology string,"
-        " cluster_name string, lat double, lon double",
-    )
-
-
-def market_datasets(spark: SparkSession) -> DataFrame:
-    rows = [(name, *config) for name, config in MARKET_DATASETS.items()]
-    return spark.createDataFrame(
-        rows, "dataset string, document_type string, process_type string, domain_mode string"
-    )
+from gridtide.reference_data import EVERY_DATASET, MARKET_DATASETS
 
 
 def expected_series(areas: DataFrame, datasets: Sequence[str] = tuple(MARKET_DATASETS)) -> DataFrame:
-    """A row per area and dataset the area is used for.
+    """A row per area and dataset the area is used for (its column ``use_for``).
 
     Each area expands its own list, so no pairing of all areas with all
     datasets takes place.
@@ -56,9 +33,3 @@ def series_status(expected: DataFrame, received: DataFrame) -> DataFrame:
     counts = received.groupBy("area_code", "dataset").agg(F.count(F.lit(1)).alias("rows_received"))
     joined = expected.join(counts, ["area_code", "dataset"], "left")
     return joined.withColumn("rows_received", F.coalesce("rows_received", F.lit(0)))
-
-
-def missing_series(expected: DataFrame, received: DataFrame) -> DataFrame:
-    return expected.join(
-        received.select("area_code", "dataset").distinct(), ["area_code", "dataset"], "left_anti"
-    )

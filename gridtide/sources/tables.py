@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
@@ -18,15 +17,11 @@ DAY = "event_date"
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the one the cluster shares between its machines.
 
-    The cluster names that folder in ``spark.checkpoint.dir``.  A local session
-    without the setting uses a temporary folder; a cluster without it is an
-    error, since executors could not see a folder of the driver's machine.
+    The cluster names that folder in ``spark.checkpoint.dir``.  Without the
+    setting the warehouse of the session is used, which is shared as well.
+    What is written there belongs to the caller, who may delete it after use.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="gridtide-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/gridtide/{name}-{uuid.uuid4().hex}"
 
 

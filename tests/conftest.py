@@ -11,13 +11,17 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
 
 @pytest.fixture(scope="session")
-def spark() -> SparkSession:
+def spark(tmp_path_factory) -> SparkSession:
+    shared = tmp_path_factory.mktemp("shared")
     session = (
         SparkSession.builder.master("local[*]")
         .appName("gridtide-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", str(shared))
+        .config("spark.sql.warehouse.dir", str(shared / "warehouse"))
+        .config("spark.sql.files.minPartitionNum", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()

@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridtide.functions import labels, numeric, temporal
+from gridtide.operators.weather import null_outside_limits
+from gridtide.reference_data import RENEWABLE_GENERATION, RENEWABLE_WEATHER
 
 
 def column(spark, values, kind, build):
@@ -170,3 +172,68 @@ def test_labels(spark):
         labels.technology_family,
     )
     assert families == ["solar", "wind", "wind", None, None]
+
+
+def test_offset_behind_many_digits_counts(spark):
+    texts = ["2024-01-15T09:30:00.12345678901234567890123+02:00", "2024-01-15T09:30:00." + "0" * 60 + "Z"]
+    got = column(spark, texts, "string", temporal.utc_from_text)
+    assert [t.strftime("%H:%M:%S") for t in got] == ["07:30:00", "09:30:00"]
+
+
+def test_large_doubles_are_rounded(spark):
+    values = [1e15 + 0.125, 2.0**51 + 0.5, 2.0**53 + 2, 1e300, -(1e15) - 0.125]
+    got = column(spark, values, "double", lambda v: numeric.round_half_up(v, 0))
+    assert got == [1e15, 2.0**51 + 1, 2.0**53 + 2, 1e300, -1e15]
+
+
+def test_far_positions_are_times_or_null(spark):
+    frame = spark.createDataFrame(
+        [("P7D", 10_000_000), ("P7D", 2**31 - 1), ("PT60M", 2**31 - 1)], "r string, p int"
+    ).withColumn("s", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    made = frame.select(temporal.position_time("s", "r", "p").isNotNull().alias("there"))
+    assert [r.there for r in made.collect()][:1] == [True]
+
+
+# Written out here, apart from the lists the operators use.
+RENEWABLE = """solar wind_onshore wind_offshore hydro_run_of_river hydro_reservoir
+    hydro_pumped_storage geothermal biomass other_renewable""".split()
+LIMITS = """temperature_2m -60 60, relative_humidity_2m 0 100, precipitation 0 500,
+    surface_pressure 850 1100, cloud_cover 0 100, shortwave_radiation 0 1500, direct_radiation 0 1500,
+    diffuse_radiation 0 1000, global_tilted_irradiance 0 1500, wind_speed_100m 0 120,
+    wind_direction_100m 0 360, wind_gusts_10m 0 200"""
+
+
+def test_each_flag_of_the_technologies(spark):
+    others = ["fossil_gas", "nuclear", "wind-onshore", None]
+    got = column(
+        spark, RENEWABLE + others, "string", lambda v: labels.is_member(v, RENEWABLE_GENERATION)
+    )
+    assert got == [True] * len(RENEWABLE) + [False] * len(others)
+    sites = ["solar", "wind-onshore", "wind-offshore", "wind_onshore", "other"]
+    got = column(spark, sites, "string", lambda v: labels.is_member(v, RENEWABLE_WEATHER))
+    assert got == [True, True, True, False, False]
+    assert column(spark, sites, "string", labels.technology_family) == [
+        "solar", "wind", "wind", "wind", None,
+    ]
+
+
+def test_a_value_on_each_side_of_each_limit(spark):
+    for name, low, high in (part.split() for part in LIMITS.split(",")):
+        low, high = float(low), float(high)
+        frame = spark.createDataFrame(
+            [(v,) for v in (low - 0.01, low, high, high + 0.01)], f"{name} double"
+        )
+        got = [r[0] for r in null_outside_limits(frame).collect()]
+        assert got == [None, low, high, None], name
+
+
+def test_a_value_on_each_side_of_each_bucket(spark):
+    for build, bounds in (
+        (labels.wind_bucket, [5, 10, 15, 20, 25]),
+        (labels.irradiance_bucket, [50, 200, 500, 800]),
+    ):
+        values = [v for bound in bounds for v in (bound - 0.01, float(bound))]
+        got = column(spark, values, "double", build)
+        assert len(set(got)) == len(bounds) + 1
+        assert all(got[n] == got[n + 1] for n in range(1, len(got) - 1, 2))
+        assert all(got[n] != got[n + 1] for n in range(0, len(got), 2))

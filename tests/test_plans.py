@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from gridtide.catalog import inputs
-from gridtide.catalog.queries import QUERIES
+from gridtide.catalog.queries import QUERIES, report
+from gridtide.operators.weather import fact_hourly_weather
+from gridtide.plans import rebuild
+from gridtide.schemas import TABLES, WEATHER_CLEAN, conform
+from gridtide.sources.tables import overwrite_days
 
 BATCH = sorted(
     name
     for name in QUERIES
-    if not name.startswith(("stream_", "jsonl_", "silver_partitioned", "backfill"))
+    if not name.startswith(("stream_", "jsonl_", "silver_partitioned", "backfill", "quarantine_lines"))
     and name
     not in (
         "partition_scan",
@@ -18,6 +23,7 @@ BATCH = sorted(
         "create_if_absent",
         "idempotent_overwrite",
         "schema_evolution_read",
+        "write_counts",
     )
 )
 
@@ -62,8 +68,47 @@ def test_no_pinned_broadcast(spark, sf_dir):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_hot_zone_is_spread_over_its_wind_speeds(spark, sf_dir):
-    plan = plan_of(QUERIES["agg_daily_bidding_zone"](spark, sf_dir))
+def test_daily_weather_is_combined_before_its_one_shuffle(spark, sf_dir):
+    zones = inputs.tables(spark, sf_dir)["agg_daily_bidding_zone"]
+    plan = plan_of(zones)
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    zone_exchanges = [line for line in exchanges if "technology_group" in line]
-    assert ["wind_speed_100m" in line.split("ENSURE")[0] for line in zone_exchanges] == [False, True]
+    assert sum("technology_group" in line for line in exchanges) == 1
+    assert "partial_percentile" in plan
+
+
+def test_no_percentile_where_no_wind_is_asked_for(spark, sf_dir):
+    for name in ("q13_solar_efficiency", "q02_daily_solar_conversion", "v_solar_performance"):
+        plan = plan_of(QUERIES[name](spark, sf_dir))
+        assert "percentile" not in plan and "wind_speed_100m" not in plan
+
+
+def test_wind_speeds_of_a_zone_are_bounded(spark):
+    rows = [(n / 7.0001,) for n in range(5000)]
+    speeds = spark.createDataFrame(rows, "wind_speed_100m double")
+    seen = conform(speeds, WEATHER_CLEAN).withColumns(
+        {
+            "event_date": F.lit("2024-01-01"),
+            "observation_timestamp_utc": F.timestamp_seconds(F.col("wind_speed_100m") * 1000)
+            .cast("timestamp_ntz"),
+            "cluster_name": F.col("wind_speed_100m").cast("string"),
+        }
+    )
+    fact = fact_hourly_weather(seen)
+    speed = F.col("wind_speed_100m")
+    assert fact.where((speed < 0) | (speed > 120) | (speed != F.round(speed, 3))).count() == 0
+
+
+def test_no_forced_repartitioning(spark, sf_dir):
+    for name in BATCH:
+        assert "REPARTITION_BY_NUM" not in plan_of(QUERIES[name](spark, sf_dir))
+
+
+def test_one_day_reports_prune_stored_days(spark, sf_dir, tmp_path):
+    for name in ("fact_generation", "fact_load", "fact_generation_forecast", "fact_hourly_weather"):
+        rows = inputs.tables(spark, sf_dir)[name].where("event_date < DATE'2024-01-17'")
+        overwrite_days(rows, rebuild.table_path(str(tmp_path), name), TABLES[name])
+    tables = rebuild.open_tables(spark, str(tmp_path))
+    for name in ("q01_hourly_solar", "q04_hourly_wind", "q10_forecast_error", "q12_load_coverage"):
+        plan = plan_of(report(name, tables))
+        scans = [line for line in plan.splitlines() if "PartitionFilters" in line]
+        assert scans and all("event_date" in line.split("PartitionFilters")[1].split("]")[0] for line in scans)

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from gridtide.operators.clean import clean_market
 from gridtide.plans import rebuild
-from gridtide.reference_data import MARKET_DATASETS
+from gridtide.reference_data import EVERY_DATASET, MARKET_DATASETS
 from gridtide.schemas import FACT_LOAD, MARKET_CLEAN, MARKET_RECORD, WEATHER_RECORD, conform
 from gridtide.sources import expected_series, json_lines
 from gridtide.sources import tables as storage
-from gridtide.streaming import ingest
+from gridtide.streaming import ingest, quarantine
 from test_cleaning import market_records, weather_records
 
 
@@ -75,8 +75,10 @@ def test_broken_lines_are_kept_apart(spark, tmp_path):
     (tmp_path / "ignored.csv").write_text("x\n")
     lines = json_lines.read_lines(spark, str(tmp_path), MARKET_RECORD)
     assert [r.area_code for r in json_lines.readable(lines).collect()] == ["A"]
-    (row,) = json_lines.broken(lines).collect()
-    assert (row.status, row.raw_line) == ("request_failed", '{"status": ')
+    judged = quarantine.judged(lines, MARKET_RECORD, "timestamp_utc", True, True)
+    aside = {r.problem: r for r in quarantine.quarantined(judged).collect()}
+    row = aside["line is not a JSON record"]
+    assert (row.lost, row.raw_line) == (True, '{"status": ')
     assert row.source_file.endswith("a.jsonl")
 
 
@@ -99,11 +101,25 @@ def test_landing_layout(spark, tmp_path):
 
 
 def test_shared_folder_follows_the_session(spark):
-    root = spark.conf.get("spark.checkpoint.dir", None)
     first, second = (storage.shared_folder(spark, "x") for _ in range(2))
-    assert first != second
-    if root:
-        assert first.startswith(root)
+    assert first != second and first.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_landing_area_prunes_by_feed_and_hour(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    json_lines.write_lines(
+        market_records(spark, {}, {"dataset": "day_ahead_energy_prices"},
+                       {"ingested_at": "2026-04-22T23:00:00Z"}),
+        path,
+    )
+    lines = json_lines.read_lines(spark, path, MARKET_RECORD, feeds=["actual_total_load"])
+    some = lines.where("hour = '11'")
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters"):].split("]")[0]
+    assert "feed" in filters and "hour" in filters
+    assert [(r.feed, r.year, r.month, r.day, r.hour) for r in some.collect()] == [
+        ("actual_total_load", "2026", "04", "22", "11")
+    ]
 
 
 def test_default_day_and_range():
@@ -115,20 +131,20 @@ def test_default_day_and_range():
 
 
 def test_expected_series(spark):
-    zones = expected_series.bidding_zones(spark)
-    assert zones.count() == 23
-    assert expected_series.expected_series(zones).count() == 23 * len(MARKET_DATASETS)
+    zones = spark.createDataFrame(
+        [("A", "First", [EVERY_DATASET]), ("B", "PL", ["actual_total_load", "unknown"])],
+        "area_code string, area_name string, use_for array<string>",
+    )
+    assert expected_series.expected_series(zones).count() == len(MARKET_DATASETS) + 1
     received = spark.createDataFrame(
-        [("10YPL-AREA-----S", "actual_total_load")] * 2, "area_code string, dataset string"
+        [("B", "actual_total_load")] * 2, "area_code string, dataset string"
     )
     expected = expected_series.expected_series(zones)
     status = expected_series.series_status(expected, received)
     assert status.where("rows_received > 0").select("area_name", "rows_received").collect() == [
         ("PL", 2)
     ]
-    assert expected_series.missing_series(expected, received).count() == 137
-    assert expected_series.weather_sites(spark).count() == 23
-    assert expected_series.market_datasets(spark).count() == 6
+    assert status.where("rows_received = 0").count() == len(MARKET_DATASETS)
 
 
 def land(spark, path, *changes, records=market_records):
@@ -210,3 +226,67 @@ def test_rebuild_leaves_other_days_alone(spark, places):
     )
     assert second == {"fact_load": 1}
     assert rebuild.open_tables(spark, places["tables"])["fact_load"].count() == 2
+
+
+def test_faults_end_in_the_quarantine_and_not_the_stream(spark, places):
+    land(
+        spark,
+        places["landing"],
+        {"quantity_mw": 1.0},
+        {"dataset": None, "area_code": "B"},
+        {"timestamp_utc": "soon", "area_code": "C"},
+        {"timestamp_utc": "0812-01-01T00:00Z", "area_code": "D"},
+        {"status": "no_data", "area_code": "E"},
+        {"dataset": "made up", "area_code": "F"},
+    )
+    folder = "feed=actual_total_load/year=2026/month=04/day=22/hour=11"
+    with open(f"{places['landing']}/{folder}/broken.json", "w") as lines:
+        lines.write('{"status": "ok"\n')
+        lines.write(
+            '{"status": "ok", "dataset": "actual_total_load", "area_code": "G",'
+            ' "timestamp_utc": "2026-04-22T10:00Z", "quantity_mw": "much"}\n'
+        )
+    query = ingest.start_ingest(
+        spark,
+        ingest.MARKET,
+        places["landing"],
+        places["clean"],
+        places["checkpoint"],
+        places["tables"],
+    )
+    query.awaitTermination()
+    assert query.exception() is None
+    written = storage.read_table(spark, places["clean"], MARKET_CLEAN).count()
+    aside = spark.read.parquet(ingest.quarantine_of(places["clean"])).collect()
+    assert sorted((r.problem, r.lost) for r in aside) == [
+        ("implausible day", True),
+        ("line is not a JSON record", True),
+        ("no dataset", True),
+        ("no readable time", True),
+        ("status no_data", True),
+        ("unreadable number: quantity_mw", False),
+    ]
+    assert written + sum(r.lost for r in aside) == 8
+    facts = rebuild.open_tables(spark, places["tables"])["fact_load"].collect()
+    assert len(facts) == 2 and "G" in {r.area_code for r in facts}
+
+
+def test_no_day_rebuilds_nothing(spark, places):
+    rows = clean_market(market_records(spark, {}))
+    storage.append_partitioned(rows, places["clean"], ["event_date", "dataset"])
+    assert rebuild.rebuild_market(spark, places["clean"], places["tables"], [])["fact_load"] == 0
+
+
+def test_facts_grow_with_the_tables(spark):
+    """Ten times the line items and orders give about ten times the facts; keep-last still drops some."""
+    from gridtide.catalog import inputs
+
+    def rows(sf):
+        folder = f"/root/testdata/sf{sf}"
+        return [
+            f(spark, folder).count() for f in (inputs.fact_generation, inputs.fact_load, inputs.fact_prices)
+        ] + [inputs.generation_readings(spark, folder).count()]
+
+    small, large = rows("0.001"), rows("0.01")
+    assert all(9 < b / a < 11 for a, b in zip(small, large))
+    assert large[0] < 0.95 * large[3]
