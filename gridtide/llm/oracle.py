@@ -7,9 +7,9 @@ links; tests/llm compares them with brute-force versions.
 SQL: dict[str, str] = {}
 
 SQL["op1_topk_search"] = """
-WITH codes AS (SELECT vec_id, list_transform(embedding[1:64], x -> x > 0) AS bits FROM embeddings),
+WITH codes AS (SELECT vec_id, list_transform(embedding[1:64], lambda x: x > 0) AS bits FROM embeddings),
   pairs AS (SELECT q.vec_id AS query_id, c.vec_id AS id,
-      len(list_filter(list_zip(q.bits, c.bits), p -> p[1] <> p[2])) AS distance
+      len(list_filter(list_zip(q.bits, c.bits), lambda p: p[1] <> p[2])) AS distance
     FROM codes q JOIN codes c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
 SELECT query_id, CAST(place AS INTEGER) AS rank, id, CAST(distance AS INTEGER) AS distance
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY distance, id) AS place FROM pairs)
@@ -18,11 +18,11 @@ WHERE place <= 10"""
 SQL["op2_warc"] = """
 WITH hashed AS (SELECT page_id, url, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex
     FROM pages),
-  numbers AS (SELECT *, list_transform(range(8), n -> list_reduce(list_transform(range(1, 6),
-      i -> CAST(strpos('0123456789abcdef', hex[5 * n + i]) - 1 AS BIGINT)), (a, b) -> a * 16 + b))
+  numbers AS (SELECT *, list_transform(range(8), lambda n: list_reduce(list_transform(range(1, 6),
+      lambda i: CAST(strpos('0123456789abcdef', hex[5 * n + i]) - 1 AS BIGINT)), lambda a, b: a * 16 + b))
       AS parts FROM hashed),
-  spelled AS (SELECT *, list_aggregate(list_transform(parts, v -> list_aggregate(list_transform(
-      [15, 10, 5, 0], s -> 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((v >> s) & 31) + 1]),
+  spelled AS (SELECT *, list_aggregate(list_transform(parts, lambda v: list_aggregate(list_transform(
+      [15, 10, 5, 0], lambda s: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((v >> s) & 31) + 1]),
       'string_agg', '')), 'string_agg', '') AS digest,
       MAX(page_id) OVER (PARTITION BY payload) AS original FROM numbers)
 SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
