@@ -177,7 +177,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> l
     known = labelled_sample(labels, sample_rows).select(
         F.col("doc_id"), F.col("quality").alias("label of the sample")
     )
-    sample = with_counts(docs.select("doc_id", "text").join(known, "doc_id"), ["label of the sample"])
+    # The sample has a fixed bound, so it may be broadcast; texts are then filtered where they lie.
+    labelled = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    sample = with_counts(labelled, ["label of the sample"])
     features = [F.expr(sql).alias(name) for name, sql in FEATURES.items()]
     rows = (
         sample.where(~base_failed())
