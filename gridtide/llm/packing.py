@@ -41,8 +41,8 @@ TIERS = (256, 512, 1024, 2048)
 END_ID = 1
 ID_BYTES = 4
 TEXTS_AT_ONCE = 512
-KEPT_PARTS = 600_000
-KEPT_WORDS = 400_000
+KEPT_PARTS = 1_200_000
+KEPT_WORDS = 800_000
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,"
