@@ -33,6 +33,7 @@ from gridtide.llm.common import stored
 
 BINS = 512
 DIMENSIONS = ("log_size", "density", "crc")
+TEXT_DIMENSION = "crc"  # one place for one text
 PARTITION_SHIFT = 33  # monotonically_increasing_id keeps the partition above these bits
 
 
@@ -145,7 +146,8 @@ def _refine(node: Node, bins: dict[tuple[int, int], Row], tolerance: float) -> b
         node.gap = abs(below + row.weight - node.goal)
         node.cut_dimension, node.cut_at = node.dimension, after.a
     if row.a == row.b:  # a single point lies on the median
-        node.heavy = (node.dimension, row.a, (node.goal - below) / row.weight)
+        if node.dimension == TEXT_DIMENSION:
+            node.heavy = (node.dimension, row.a, (node.goal - below) / row.weight)
         return False
     node.low, node.high, node.below = row.a, row.b + (row.b - row.a) / BINS, below
     return node.gap > tolerance * node.total
@@ -168,7 +170,7 @@ def _lower_side(node: Node, torn_above: float) -> Column:
         return F.lit(True)
     if node.heavy and node.gap > torn_above * node.total:
         dimension, place, share = node.heavy
-        lot = F.pmod(F.xxhash64("row_number"), F.lit(1 << 20)) / float(1 << 20)
+        lot = F.pmod(F.xxhash64("row_number", F.lit(node.number)), F.lit(1 << 20)) / float(1 << 20)
         return (F.col(dimension) < place) | ((F.col(dimension) == place) & (lot < share))
     return F.col(node.cut_dimension) < node.cut_at
 

@@ -7,7 +7,7 @@ by which documents are selected.
 
 Features are hashes of a document's distinct words, of their endings and of
 their shapes (capital, small, digit, mark or other, runs taken together), each
-present or not, scaled to unit length per kind.  They are computed where the
+present or not, weighing less the more there are of a kind.  They are computed where the
 text is read; scoring is a sum of weights and shuffles nothing.
 
 Grades come from the labels: 0 for low quality, 1 for good but toxic, 2 for
@@ -23,7 +23,7 @@ probability is 1, so all documents are kept.  An empty table gives no rows.
 
 from __future__ import annotations
 
-import math
+import string
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,13 +34,15 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE_ROWS = 6_000
-FEATURE_BITS = 17
+SAMPLE_ROWS = 8_000
+FEATURE_BITS = 20
+MIN_DOCUMENTS = 5  # a feature of fewer sampled documents has no weight
 GRADES = 3
 SELECTED_GRADE = 2
-MIN_TAIL = 0.5
+MIN_TAIL = 0.4
 ENDING = 3
 KINDS = 3
+MARKS = string.punctuation.encode()
 CACHED_WORDS = 300_000
 
 _SHAPES = bytes(
@@ -65,7 +67,7 @@ class TextFeatures:
         self._known: dict[bytes, tuple[int, int, int]] = {}
 
     def _of_word(self, word: bytes) -> tuple[int, int, int]:
-        parts = (b"w" + word.lower(), b"e" + word[-ENDING:], b"s" + shape(word))
+        parts = (b"w" + word.lower().strip(MARKS), b"e" + word[-ENDING:], b"s" + shape(word))
         return tuple(zlib.crc32(part) & self._mask for part in parts)
 
     def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -79,7 +81,7 @@ class TextFeatures:
         for kind in range(KINDS):
             distinct = np.fromiter({f[kind] for f in found}, np.int32)
             numbers.append(distinct)
-            values.append(np.full(len(distinct), 1 / math.sqrt(max(len(distinct), 1)), np.float32))
+            values.append(np.full(len(distinct), max(len(distinct), 1) ** -0.25, np.float32))
         return np.concatenate(numbers), np.concatenate(values)
 
 
@@ -96,7 +98,8 @@ class OrdinalModel:
 
     def above(self, scores: np.ndarray) -> np.ndarray:
         """P(grade > k) for every score and threshold k."""
-        return _sigmoid(scores[:, None] - self.thresholds[None, :])
+        chance = _sigmoid(scores[:, None] - self.thresholds[None, :])
+        return np.where(np.isneginf(self.thresholds), 1.0, chance)
 
     def expected_grade(self, scores: np.ndarray) -> np.ndarray:
         return self.above(scores).sum(1)
@@ -110,27 +113,45 @@ def keep_all() -> OrdinalModel:
     return OrdinalModel(np.zeros(1 << FEATURE_BITS, np.float32), np.full(GRADES - 1, -np.inf))
 
 
+def _telling(numbers: np.ndarray, of_row: np.ndarray, grades: np.ndarray, size: int) -> np.ndarray:
+    """The largest log ratio of a feature's rates on both sides of a threshold."""
+    found = np.zeros(size)
+    for k in range(GRADES - 1):
+        sides = [np.bincount(numbers[s], minlength=size) for s in (of_row <= k, of_row > k)]
+        rows = [(grades <= k).sum(), (grades > k).sum()]
+        rates = [(side + 1) / (n + 2) for side, n in zip(sides, rows)]
+        found = np.maximum(found, np.abs(np.log(rates[0] / rates[1])))
+    return found
+
+
 def fit_ordinal(
     numbers: np.ndarray,
     values: np.ndarray,
     rows: np.ndarray,
     grades: np.ndarray,
-    penalty: float = 2e-5,
-    steps: int = 240,
+    penalty: float = 1e-3,
+    steps: int = 200,
     rate: float = 0.08,
 ) -> OrdinalModel:
     """Maximise the penalised likelihood by Adam steps over all rows.
 
     ``numbers``, ``values`` and ``rows`` list the features of all documents.
-    Grades weigh alike however rare they are.  Thresholds are a first one plus
-    positive steps, so they stay in order.
+    A feature is scaled by how unevenly it falls below and above a threshold, so
+    that the penalty holds back what tells little.  Thresholds are a first one
+    plus positive steps, so they stay in order.
     """
     if len(np.unique(grades)) < 2:
         return keep_all()
-    n_rows, size = len(grades), 1 << FEATURE_BITS
-    share = np.bincount(grades, minlength=GRADES) / n_rows
-    row_weight = (1 / np.maximum(share, 1e-9))[grades]
-    row_weight /= row_weight.sum()
+    # Only features that several documents share are fitted; the others keep the weight 0.
+    shared = np.flatnonzero(np.bincount(numbers, minlength=1 << FEATURE_BITS) >= MIN_DOCUMENTS)
+    at = np.searchsorted(shared, numbers)
+    at[at == len(shared)] = 0
+    known = shared[at] == numbers if len(shared) else np.zeros(len(numbers), bool)
+    numbers, values, rows = at[known], values[known], rows[known]
+    n_rows, size = len(grades), len(shared)
+    scale = _telling(numbers, grades[rows], grades, size)
+    values = values * scale[numbers]
+    row_weight = np.full(n_rows, 1 / n_rows)
     parameters = np.zeros(size + GRADES - 1)
     parameters[size] = -0.5
     moment, square = np.zeros_like(parameters), np.zeros_like(parameters)
@@ -165,7 +186,9 @@ def fit_ordinal(
         parameters = parameters - pace * (moment / (1 - 0.9**step)) / (
             np.sqrt(square / (1 - 0.99**step)) + 1e-8
         )
-    return OrdinalModel(parameters[:size].astype(np.float32), thresholds(parameters[size:]))
+    weights = np.zeros(1 << FEATURE_BITS, np.float32)
+    weights[shared] = parameters[:size] * scale
+    return OrdinalModel(weights, thresholds(parameters[size:]))
 
 
 def graded(labels: DataFrame) -> DataFrame:
@@ -190,7 +213,7 @@ def fit(docs: DataFrame, ratings: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     sample = ratings.orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(sample_rows)
     rows = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-        .join(sample, "doc_id")
+        .join(F.broadcast(sample), "doc_id")  # of a fixed bound; texts stay where they lie
         .select("doc_id", "grade", "text")
         .mapInArrow(_featured, "doc_id long, grade int, numbers array<int>, values array<float>")
         .orderBy("doc_id", "grade", F.hash("numbers"))
