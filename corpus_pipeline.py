@@ -29,7 +29,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def quality_select(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose chance of the highest grade is at least one half.
+    """Documents whose chance of the highest grade reaches the classifier's limit.
 
     The model is fitted to labelled documents of the raw table: those of low
     grade have mostly left ``docs`` by now.
