@@ -16,6 +16,9 @@ from gridtide.llm.common import stored, table
 from gridtide.llm.doc_stats import with_counts
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+# Near duplicates of the corpus; op5_jaccard_join has a contract of its own.
+SHINGLE_WORDS = 5
+NEAR_PERCENT = 80
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +48,7 @@ def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Rows that repeat an id are one document if they belong to the same group.
     Rows without an id stay, as no id names the one to be kept.
     """
-    found = jaccard_join.near_duplicates(docs)
+    found = jaccard_join.near_duplicates(docs, percent=NEAR_PERCENT, size=SHINGLE_WORDS)
     first = found.where("doc_id = component_id").groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("rows")
     )

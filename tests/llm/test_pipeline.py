@@ -10,6 +10,7 @@ import corpus_pipeline
 from corpus_pipeline import COLUMNS, distinct_texts, pack, quality_rules, quality_select, run
 
 SF_DIR = "/root/testdata/sf0.01"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
 @pytest.fixture(scope="module")
@@ -79,3 +80,48 @@ def test_stages_take_nulls_repeats_and_no_rows(spark):
     assert sorted(r.doc_id or 0 for r in once.collect()) == [0, 3]
     for stage in (quality_rules, quality_select, distinct_texts, pack):
         assert stage(spark, docs.limit(0), SF_DIR).count() == 0
+
+
+def five_word_sets(text):
+    words = text.encode().lower().split()
+    return {tuple(words[n : n + 5]) for n in range(len(words) - 4)} or ({tuple(words)} if words else set())
+
+
+def test_near_copies_are_those_of_five_words_and_four_fifths(spark):
+    """Four edits apart leave under 90 % of three words and over 80 % of five; five edits leave less."""
+    base = [f"w{n}" for n in range(200)]
+    edited = {2: (20, 70, 120, 170), 3: (10, 50, 90, 130, 170)}
+    texts = {1: " ".join(base)}
+    for n, places in edited.items():
+        texts[n] = " ".join("new" if at in places else word for at, word in enumerate(base))
+    sets = {n: five_word_sets(t) for n, t in texts.items()}
+    links = {
+        (a, b) for a in sets for b in sets
+        if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    }
+    assert links == {(1, 2)}
+    docs = spark.createDataFrame([(n, t, "en", "s", 1) for n, t in texts.items()], SCHEMA)
+    got = {r.doc_id for r in distinct_texts(spark, docs, SF_DIR).collect()}
+    assert got == set(texts) - {b for _, b in links}
+
+
+def test_one_of_each_group_of_five_words_stays(stages):
+    before, after = stages[2], stages[3]
+    sets = {n: five_word_sets(t) for n, t in before.text.items()}
+    root = {n: n for n in sets}
+
+    def top(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    order = sorted((n for n in sets if sets[n]), key=lambda n: len(sets[n]))
+    for k, a in enumerate(order):
+        for b in order[k + 1 :]:
+            if 100 * len(sets[a]) < 80 * len(sets[b]):
+                break
+            common = len(sets[a] & sets[b])
+            if 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common):
+                x, y = sorted((top(a), top(b)))
+                root[y] = x
+    assert set(after.index) == {n for n in sets if root[n] == n}
