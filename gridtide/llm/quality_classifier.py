@@ -3,7 +3,9 @@
 Every grade shares one weight vector over hashed text features; ordered
 thresholds turn a document's score s into P(grade <= k) = sigmoid(threshold_k - s).
 From that follow the expected grade and the tail probability P(grade >= g),
-by which documents are selected.
+by which documents are selected.  The limit of the tail is chosen from the
+sample: the highest that keeps ``KEPT_SHARE`` of the documents of the selected
+grade, judged by models that have not seen them.
 
 Features are hashes of a document's distinct words, of their endings and of
 their shapes (capital, small, digit, mark or other, runs taken together), each
@@ -27,6 +29,7 @@ import string
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +42,13 @@ FEATURE_BITS = 20
 MIN_DOCUMENTS = 5  # a feature of fewer sampled documents has no weight
 GRADES = 3
 SELECTED_GRADE = 2
-MIN_TAIL = 0.4
+KEPT_SHARE = 0.97  # of the selected grade
+FOLDS = 4
+# Low quality is told by many features; at full weight it leaves the rare grade of the
+# toxic, which few words tell, too little room between the thresholds.
+GRADE_WEIGHTS = (0.1, 1.0, 1.0)
+PENALTY = 0.1
+SCALE_POWER = 2.0
 ENDING = 3
 KINDS = 3
 MARKS = string.punctuation.encode()
@@ -91,10 +100,11 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class OrdinalModel:
-    """Shared weights and the ordered thresholds between neighbouring grades."""
+    """Shared weights, the ordered thresholds between neighbouring grades and the limit of the tail."""
 
     weights: np.ndarray
     thresholds: np.ndarray
+    min_tail: float = 0.0
 
     def above(self, scores: np.ndarray) -> np.ndarray:
         """P(grade > k) for every score and threshold k."""
@@ -132,13 +142,16 @@ def fit_ordinal(
     penalty: float = 1e-3,
     steps: int = 200,
     rate: float = 0.08,
+    grade_weights: tuple[float, ...] = (1.0,) * GRADES,
+    scale_power: float = 1.0,
 ) -> OrdinalModel:
     """Maximise the penalised likelihood by Adam steps over all rows.
 
     ``numbers``, ``values`` and ``rows`` list the features of all documents.
-    A feature is scaled by how unevenly it falls below and above a threshold, so
-    that the penalty holds back what tells little.  Thresholds are a first one
-    plus positive steps, so they stay in order.
+    Rows weigh as ``grade_weights`` says.  A feature is scaled by a power of how
+    unevenly it falls below and above a threshold, so that the penalty holds back
+    what tells little.  Thresholds are a first one plus positive steps, so they
+    stay in order.
     """
     if len(np.unique(grades)) < 2:
         return keep_all()
@@ -149,9 +162,10 @@ def fit_ordinal(
     known = shared[at] == numbers if len(shared) else np.zeros(len(numbers), bool)
     numbers, values, rows = at[known], values[known], rows[known]
     n_rows, size = len(grades), len(shared)
-    scale = _telling(numbers, grades[rows], grades, size)
+    scale = _telling(numbers, grades[rows], grades, size) ** scale_power
     values = values * scale[numbers]
-    row_weight = np.full(n_rows, 1 / n_rows)
+    row_weight = np.array(grade_weights)[grades]
+    row_weight /= row_weight.sum()
     parameters = np.zeros(size + GRADES - 1)
     parameters[size] = -0.5
     moment, square = np.zeros_like(parameters), np.zeros_like(parameters)
@@ -191,6 +205,37 @@ def fit_ordinal(
     return OrdinalModel(weights, thresholds(parameters[size:]))
 
 
+def _scores(model: OrdinalModel, numbers: np.ndarray, values: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    return np.bincount(rows, model.weights[numbers] * values, minlength=n)
+
+
+def fit_with_limit(
+    numbers: np.ndarray, values: np.ndarray, rows: np.ndarray, grades: np.ndarray, share: float = KEPT_SHARE
+) -> OrdinalModel:
+    """The model of all rows, with the highest limit that keeps ``share`` of the selected grade.
+
+    Each row is judged by a model of the other folds.  Where a fold leaves less
+    than two grades, or no row has the selected one, the limit is 0.
+    """
+    fitted = partial(fit_ordinal, penalty=PENALTY, grade_weights=GRADE_WEIGHTS, scale_power=SCALE_POWER)
+    fold = np.arange(len(grades)) % FOLDS
+    tails = np.empty(len(grades))
+    for n in range(FOLDS):
+        others = fold != n
+        place = np.cumsum(others) - 1
+        at = others[rows]
+        model = fitted(numbers[at], values[at], place[rows[at]], grades[others])
+        tails[~others] = model.tail(_scores(model, numbers, values, rows, len(grades)), SELECTED_GRADE)[~others]
+        if np.isneginf(model.thresholds).any():
+            return fitted(numbers, values, rows, grades)
+    selected = np.sort(tails[grades == SELECTED_GRADE])
+    model = fitted(numbers, values, rows, grades)
+    if not len(selected):
+        return model
+    limit = float(selected[int((1 - share) * len(selected))])
+    return OrdinalModel(model.weights, model.thresholds, limit)
+
+
 def graded(labels: DataFrame) -> DataFrame:
     """(doc_id, grade): 0 low quality, 1 good but toxic, 2 good and clean."""
     grade = F.when(F.col("quality") == 0, 0).when(F.coalesce("toxic", F.lit(0)) == 1, 1).otherwise(2)
@@ -225,13 +270,13 @@ def fit(docs: DataFrame, ratings: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     values = np.concatenate([chunk.values.to_numpy() for chunk in rows["values"]])
     at = np.repeat(np.arange(len(features)), [len(f) for f in features])
     grades = rows["grade"].to_numpy().astype(np.int64)
-    return fit_ordinal(np.concatenate(features), values, at, grades)
+    return fit_with_limit(np.concatenate(features), values, at, grades)
 
 
 SCORES = "expected_grade double, tail_probability double, kept boolean"
 
 
-def _scored(model: Broadcast, grade: int, min_tail: float, keep_text: bool):
+def _scored(model: Broadcast, grade: int, limit: float, keep_text: bool):
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, fitted = TextFeatures(), OrdinalModel(*model.value)
         for batch in batches:
@@ -240,7 +285,7 @@ def _scored(model: Broadcast, grade: int, min_tail: float, keep_text: bool):
                 numbers, values = features.of(text.as_py())
                 scores[n] = fitted.weights[numbers] @ values
             tail = fitted.tail(scores, grade)
-            made = [pa.array(fitted.expected_grade(scores)), pa.array(tail), pa.array(tail >= min_tail)]
+            made = [pa.array(fitted.expected_grade(scores)), pa.array(tail), pa.array(tail >= limit)]
             names, columns = list(batch.schema.names), list(batch.columns)
             if not keep_text:
                 columns.pop(names.index("text"))
@@ -256,11 +301,12 @@ def score(
     model: OrdinalModel,
     keep: list[str],
     grade: int = SELECTED_GRADE,
-    min_tail: float = MIN_TAIL,
+    min_tail: float | None = None,
 ) -> DataFrame:
     """The kept columns, expected grade, P(grade >= ``grade``) and whether that selects the row.
 
-    Kept columns named like the scores are replaced.
+    The limit is the model's unless ``min_tail`` names another.  Kept columns named
+    like the scores are replaced.
     """
     shipped = docs.sparkSession.sparkContext.broadcast((model.weights, model.thresholds))
     added = [field.split()[0] for field in SCORES.split(", ")]
@@ -268,4 +314,5 @@ def score(
     rows = docs.select(*kept, F.col("text").cast("string"))
     fields = [f for f in rows.schema if f.name != "text" or "text" in keep]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return rows.mapInArrow(_scored(shipped, grade, min_tail, "text" in keep), f"{schema}, {SCORES}")
+    limit = model.min_tail if min_tail is None else min_tail
+    return rows.mapInArrow(_scored(shipped, grade, limit, "text" in keep), f"{schema}, {SCORES}")

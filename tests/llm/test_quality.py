@@ -129,6 +129,27 @@ def test_held_out_accuracy_of_both(spark):
     assert means == sorted(means)
 
 
+MARKERS = {
+    "trash", "pathetic", "idiot", "disgusting", "worthless", "clown", "loser", "scum", "stupid", "moron",
+}
+
+
+def test_toxic_documents_with_marker_words_are_rejected(spark):
+    """No clean document holds one of these words; fitted on even ids, judged on odd ones."""
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    model = quality_classifier.fit(docs, quality_classifier.graded(labels.where("doc_id % 2 = 0")))
+    odd = labels.where("doc_id % 2 = 1").toPandas()
+    scored = quality_classifier.score(docs, model, ["doc_id", "text"]).toPandas().merge(odd, on="doc_id")
+    marked = scored.text.map(lambda t: not MARKERS.isdisjoint(re.findall(r"\w+", t.lower())))
+    clean = (scored.quality == 1) & (scored.toxic == 0)
+    toxic = (scored.quality == 1) & (scored.toxic == 1)
+    assert not (clean & marked).any() and (toxic & marked).sum() > 100
+    assert scored[toxic & marked].kept.mean() < 0.1 and scored[toxic].kept.mean() < 0.4
+    assert scored[clean].kept.mean() > 0.96
+
+
 def test_ordinal_fit_recovers_ordered_grades():
     rng = np.random.default_rng(3)
     rows = 2000
