@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtide.llm import (
@@ -13,6 +13,7 @@ from gridtide.llm import (
     kd_shards,
     license_scan,
     packing,
+    periodic_runs,
     quality_classifier,
     topk_search,
     url_filter,
@@ -103,6 +104,43 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_planted_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text; by a hash of its id, a tenth of the texts repeats a passage of its own."""
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = (hashed / 10).cast("long")
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), "[ \\t-\\r]+"), lambda word: word != "")
+
+    def repeated(w: Column) -> Column:
+        n = F.size(w)
+        a = (g % F.greatest(n, F.lit(1))).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        times = F.ceil((n - a) / p).cast("int")
+        made = F.concat(F.slice(w, 1, a), F.flatten(F.array_repeat(F.slice(w, a + 1, p), times)))
+        return F.array_join(F.slice(made, 1, n), " ")
+
+    # The list of words is bound once; each use of it would split the text anew.
+    text = F.when(hashed % 10 == 0, F.transform(F.array(words), repeated)[0]).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _with_planted_periods(table(spark, sf_dir, "documents"))
+    found = periodic_runs.find_runs(docs, ["doc_id"])
+    numbers = ("start", "length", "period")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[n].cast("string") for n in numbers]), F.lit("\n")))
+    order = F.transform("runs", lambda r: F.struct(r["length"].alias("l"), (-r["start"]).alias("s"), (-r["period"]).alias("p")))
+    return found.select("*", F.array_max(order).alias("best")).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        F.col("best.l").alias("length"),
+        (-F.col("best.p")).alias("period"),
+        F.floor(1000 * F.col("best.l") / -F.col("best.p")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_topk_search": op1_topk_search,
     "op2_warc": op2_warc,
@@ -114,4 +152,5 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filter": op9_url_filter,
     "op10_kd_shards": op10_kd_shards,
+    "op11_periodic_runs": op11_periodic_runs,
 }
