@@ -18,6 +18,7 @@ from gridtide.llm import (
     topk_search,
     url_filter,
     warc,
+    whitening,
 )
 from gridtide.llm.common import table
 from gridtide.llm.doc_stats import with_counts
@@ -141,6 +142,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), "embedding", "vec_id")
+
+
 QUERIES = {
     "op1_topk_search": op1_topk_search,
     "op2_warc": op2_warc,
@@ -153,4 +158,5 @@ QUERIES = {
     "op9_url_filter": op9_url_filter,
     "op10_kd_shards": op10_kd_shards,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_whitening": op12_whitening,
 }
