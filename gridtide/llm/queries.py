@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtide.llm import (
+    ann_graph,
     bpe,
     decision_list,
     jaccard_join,
@@ -34,6 +35,7 @@ URL_RULES = [
 
 TOP_K = 10
 QUERY_STEP = 50  # every row whose id it divides is a query
+GRAPH_QUERY_STEP = 100
 
 
 def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,6 +148,13 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"), "embedding", "vec_id")
 
 
+def op13_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), F.col("embedding").alias("vector")
+    )
+    return ann_graph.nearest(rows, rows.where(F.col("id") % GRAPH_QUERY_STEP == 0), TOP_K)
+
+
 QUERIES = {
     "op1_topk_search": op1_topk_search,
     "op2_warc": op2_warc,
@@ -159,4 +168,5 @@ QUERIES = {
     "op10_kd_shards": op10_kd_shards,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_whitening": op12_whitening,
+    "op13_graph_neighbours": op13_graph_neighbours,
 }

@@ -13,7 +13,7 @@ from gridtide.llm.queries import QUERIES
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    assert [n for n in range(1, 11) if not any(name.startswith(f"op{n}_") for name in names)] == []
+    assert [n for n in range(1, 14) if not any(name.startswith(f"op{n}_") for name in names)] == []
     assert "pipeline" in names and set(oracle.SQL) <= set(QUERIES)
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality_rules",
