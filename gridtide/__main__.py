@@ -3,6 +3,7 @@
     python -m gridtide land     --documents IN --landing OUT
     python -m gridtide ingest   --feed market|weather --landing IN --clean OUT --checkpoint DIR
                                 [--tables DIR]
+    python -m gridtide compact  --feed market|weather --clean TABLE
     python -m gridtide rebuild  --feed market|weather --clean IN --tables OUT
                                 [--first YYYY-MM-DD] [--last YYYY-MM-DD]
 
@@ -16,11 +17,14 @@ import argparse
 from datetime import date
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from gridtide.plans.rebuild import day_range, yesterday
+from gridtide.sources.batches import BATCH
 from gridtide.sources.documents import market_records, read_documents
 from gridtide.sources.json_lines import FILES_PER_BATCH, write_lines
-from gridtide.streaming.ingest import MARKET, WEATHER, start_ingest
+from gridtide.streaming import counts
+from gridtide.streaming.ingest import MARKET, WEATHER, compact_clean, start_ingest
 
 FEEDS = {"market": MARKET, "weather": WEATHER}
 
@@ -35,10 +39,11 @@ def _arguments() -> argparse.Namespace:
     ingest.add_argument("--landing", required=True)
     ingest.add_argument("--checkpoint", required=True)
     ingest.add_argument("--files-per-batch", type=int, default=FILES_PER_BATCH)
+    compact = jobs.add_parser("compact", help="batches of a cleaned table to one, latest row per key")
     rebuild = jobs.add_parser("rebuild", help="cleaned tables to analysis tables")
     rebuild.add_argument("--first", type=date.fromisoformat)
     rebuild.add_argument("--last", type=date.fromisoformat)
-    for job in (ingest, rebuild):
+    for job in (ingest, compact, rebuild):
         job.add_argument("--feed", choices=FEEDS, required=True)
         job.add_argument("--clean", required=True)
     ingest.add_argument("--tables")
@@ -62,6 +67,12 @@ def main() -> None:
             files_per_batch=given.files_per_batch,
         )
         query.awaitTermination()
+        own = counts.read_counts(spark, given.clean).where(F.col(BATCH).startswith(str(query.id)))
+        for row in own.orderBy(BATCH, "dataset").collect():
+            print(*row.asDict().values(), sep="\t")
+    elif given.job == "compact":
+        replaced = compact_clean(spark, FEEDS[given.feed], given.clean)
+        print(f"batches replaced\t{len(replaced)}")
     else:
         first = given.first or given.last or yesterday()
         days = day_range(first, given.last or first)

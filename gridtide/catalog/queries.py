@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridtide.catalog import inputs
@@ -57,14 +57,15 @@ from gridtide.schemas import (
     FACT_LOAD,
     MARKET_CLEAN,
     MARKET_RECORD,
+    QUARANTINE,
     TABLES,
     WEATHER_CLEAN,
     WEATHER_RECORD,
     conform,
 )
-from gridtide.sources import documents, expected_series, json_lines
+from gridtide.sources import batches, documents, expected_series, json_lines
 from gridtide.sources import tables as storage
-from gridtide.streaming import ingest
+from gridtide.streaming import counts, ingest, quarantine
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -953,19 +954,77 @@ def stream_bronze_to_silver_weather(spark: SparkSession, sf_dir: str) -> DataFra
     return keep_last(storage.read_table(spark, clean_path, WEATHER_CLEAN), clean.WEATHER_KEY)
 
 
+def _ingested_faulty_lines(spark: SparkSession, sf_dir: str, runs: int = 1) -> str:
+    """The cleaned table of faulty lines; several runs take them as one batch each time."""
+    landing = storage.shared_folder(spark, "landing")
+    clean_path = storage.shared_folder(spark, "clean")
+    inputs.faulty_lines(spark, sf_dir).write.text(landing)
+    if runs == 1:
+        checkpoint = storage.shared_folder(spark, "progress")
+        ingest.start_ingest(
+            spark, ingest.MARKET, landing, clean_path, checkpoint, glob="*.txt"
+        ).awaitTermination()
+        return clean_path
+    lines = json_lines.read_lines(spark, landing, MARKET_RECORD, glob="*.txt")
+    for _ in range(runs):
+        name = batches.batch_name("replayed", 0)
+        ingest.take(lines, ingest.MARKET, name, clean_path, ingest.quarantine_of(clean_path))
+    return clean_path
+
+
+def _by_problem(lines: DataFrame) -> DataFrame:
+    return lines.groupBy("problem", "lost").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 @registered("quarantine_lines")
 def quarantine_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines a stream has put aside or noted, and readings it has cleaned, by problem."""
-    landing = storage.shared_folder(spark, "landing")
+    clean_path = _ingested_faulty_lines(spark, sf_dir)
+    return _by_problem(spark.read.parquet(ingest.quarantine_of(clean_path)))
+
+
+@registered("stream_batch_replayed")
+def stream_batch_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same after the batch was taken twice."""
+    clean_path = _ingested_faulty_lines(spark, sf_dir, runs=2)
+    return _by_problem(batches.read_batches(spark, ingest.quarantine_of(clean_path), QUARANTINE))
+
+
+@registered("ingest_counts")
+def ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a batch that was taken twice has read, lost and noted, by dataset."""
+    clean_path = _ingested_faulty_lines(spark, sf_dir, runs=2)
+    found = counts.read_counts(spark, clean_path)
+    return found.select("dataset", "lines_read", "lines_lost", "lines_noted")
+
+
+@registered("quarantine_retaken")
+def quarantine_retaken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines without a dataset are given one and come back; which lines still wait, and the rows per key."""
+    clean_path = _ingested_faulty_lines(spark, sf_dir)
+    named = F.regexp_replace("raw_line", "^\\{", '{"dataset":"actual_generation_per_production_type",')
+
+    def mend(line: Column) -> Column:
+        return F.when(F.contains(line, F.lit('"dataset"')), line).otherwise(named)
+
+    back = ingest.retake(spark, ingest.MARKET, clean_path, "names", mend)
+    waiting = _by_problem(quarantine.open_lines(spark, ingest.quarantine_of(clean_path)))
+    rows = keep_last(storage.read_table(spark, clean_path, MARKET_CLEAN), [*clean.MARKET_KEY, "dataset"])
+    keys = rows.select(F.lit("cleaned keys").alias("problem"), F.lit(False).alias("lost"))
+    came_back = F.lit(back).cast("long").alias("came_back")
+    return waiting.unionByName(_by_problem(keys)).select("*", came_back)
+
+
+@registered("clean_compacted")
+def clean_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned readings of all datasets, written as three batches and compacted."""
     clean_path = storage.shared_folder(spark, "clean")
-    inputs.faulty_lines(spark, sf_dir).write.text(landing)
-    checkpoint = storage.shared_folder(spark, "progress")
-    query = ingest.start_ingest(
-        spark, ingest.MARKET, landing, clean_path, checkpoint, glob="*.txt"
-    )
-    query.awaitTermination()
-    aside = spark.read.parquet(ingest.quarantine_of(clean_path))
-    return aside.groupBy("problem", "lost").agg(F.count(F.lit(1)).alias("row_count"))
+    readings = inputs.clean_readings(spark, sf_dir)
+    third = F.pmod(F.hash("timestamp_utc", "ingested_at"), F.lit(3))
+    for n in range(3):
+        batches.write_batch(readings.where(third == n), clean_path, f"part-{'abc'[n]}", ingest.MARKET.partitions)
+    ingest.compact_clean(spark, ingest.MARKET, clean_path)
+    return storage.read_table(spark, clean_path, MARKET_CLEAN)
 
 
 @registered("stream_late_rebuild")

@@ -184,6 +184,22 @@ TABLES = {
 }
 
 
+# --- beside the cleaned tables ---------------------------------------------
+
+INGEST_COUNTS = _schema(
+    ("text", "dataset"),
+    ("long", "lines_read lines_lost lines_noted rows_written"),
+)
+
+QUARANTINE = _schema(
+    ("text", "ingested_at dataset source_file problem"),
+    ("flag", "lost"),
+    ("text", "raw_line line_id"),
+)
+
+REPAIRED = _schema(("text", "line_id"))
+
+
 def _as_type(name: str, have: T.DataType, want: T.DataType) -> Column | str:
     if have == want:
         return name
