@@ -23,7 +23,7 @@ from gridtide.plans.rebuild import day_range, yesterday
 from gridtide.sources.batches import BATCH
 from gridtide.sources.documents import market_records, read_documents
 from gridtide.sources.json_lines import FILES_PER_BATCH, write_lines
-from gridtide.streaming import counts
+from gridtide.streaming.counts import read_counts
 from gridtide.streaming.ingest import MARKET, WEATHER, compact_clean, start_ingest
 
 FEEDS = {"market": MARKET, "weather": WEATHER}
@@ -67,7 +67,7 @@ def main() -> None:
             files_per_batch=given.files_per_batch,
         )
         query.awaitTermination()
-        own = counts.read_counts(spark, given.clean).where(F.col(BATCH).startswith(str(query.id)))
+        own = read_counts(spark, given.clean).where(F.col(BATCH).startswith(str(query.id)))
         for row in own.orderBy(BATCH, "dataset").collect():
             print(*row.asDict().values(), sep="\t")
     elif given.job == "compact":
