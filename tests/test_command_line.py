@@ -45,7 +45,7 @@ def test_land_ingest_rebuild(spark, tmp_path, run, capsys):
     run("land", "--documents", tmp_path / "documents", "--landing", landing)
     run("ingest", "--feed", "market", "--landing", landing, "--clean", clean,
         "--checkpoint", tmp_path / "checkpoint")
-    assert "actual_total_load\t2\t0\t0\t2\t" in capsys.readouterr().out
+    assert "actual_total_load\t3\t1\t0\t2\t" in capsys.readouterr().out
     run("compact", "--feed", "market", "--clean", clean)
     assert "batches replaced\t0" in capsys.readouterr().out
     run("rebuild", "--feed", "market", "--clean", clean, "--tables", tmp_path / "tables",
