@@ -1,19 +1,24 @@
 """Licence scan: a positional index of rare template words, confirmed by key phrases.
 
 Words are runs of digits, letters and non-ASCII characters after A-Z are
-lower-cased.  Each licence template is indexed under its rarest words: those of
-the highest IDF, counted over all documents.  A place where a document has such
-a word proposes where the template would start; proposals of different rare
+lower-cased.  Each licence template is indexed under its rarest words, those of
+the highest IDF, counted over all documents: the postings are a table of word,
+template and position.
+
+A file is looked up by its own rarest index words.  Its words are listed with
+their places once, those of the rarest are joined with the postings by the word,
+and each pair proposes where the template would start.  Proposals of different
 words that agree on template and start are intersected, and a start with enough
 of them is verified: all mandatory key phrases must stand around it, and the
 share of template words found there is the score.
 
 Beside that, given phrases are found wherever their words stand consecutively.
 
-Everything is built of DataFrame functions.  Documents without any mandatory
-phrase are left out of the index search, which loses nothing, as verification
-asks for it.  Proposals are keyed by a digest of the text: copies meet before
-the shuffle, so a text a third of all rows share costs one row per task.
+Everything is built of DataFrame functions.  The canonical text of a document is
+made once in each of three passes (word counts, phrases, index).  The work per
+word does not grow with the templates: only words of the file's own choice reach
+the join.  Proposals are keyed by a digest of the text: copies meet before the
+shuffle, so a text a third of all rows share costs one row per task.
 
 A null text counts as empty: no words, no labels, score 0.  Null ids and
 repeated rows are scanned like others; an empty table gives an empty result.
@@ -22,6 +27,7 @@ Other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,7 +36,9 @@ from pyspark.sql import functions as F
 from gridtide.llm.common import ascii_lower
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-RARE_WORDS = 3
+RARE_WORDS = 3  # a template is indexed under so many words, and one more for each twenty it has
+MOST_WORDS = 62  # a bit of a long for each
+FILE_WORDS = 24  # a file is looked up by so many of its rarest index words
 MIN_AGREEING = 2
 MIN_SCORE = 0.8
 MARGIN = 6  # words around the expected place in which key phrases may stand
@@ -38,7 +46,7 @@ MARGIN = 6  # words around the expected place in which key phrases may stand
 
 @dataclass(frozen=True)
 class Template:
-    """Characteristic wording of a licence; words as the scan sees them."""
+    """Wording of a licence, whole or characteristic, and phrases that must stand in it."""
 
     label: str
     text: str
@@ -46,7 +54,9 @@ class Template:
 
     @property
     def words(self) -> list[str]:
-        return self.text.split()
+        """As the scan sees them."""
+        lower = "".join(c.lower() if c.isascii() else c for c in self.text)
+        return re.sub(NOT_WORD, " ", lower).split()
 
 
 # Phrases that carry a label wherever they stand.
@@ -127,6 +137,89 @@ TEMPLATES = (
         ("creative commons attribution noncommercial 4 0",),
     ),
     Template("cc0", "creative commons zero v1 0 universal", ("creative commons zero",)),
+    # Whole texts of short licences.
+    Template(
+        "mit",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this"
+        " software and associated documentation files (the \"Software\"), to deal in the Software"
+        " without restriction, including without limitation the rights to use, copy, modify, merge,"
+        " publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons"
+        " to whom the Software is furnished to do so, subject to the following conditions: The above"
+        " copyright notice and this permission notice shall be included in all copies or substantial"
+        " portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND,"
+        " EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS"
+        " FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT"
+        " HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF"
+        " CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE"
+        " USE OR OTHER DEALINGS IN THE SOFTWARE.",
+        ("permission is hereby granted free of charge", "without warranty of any kind"),
+    ),
+    Template(
+        "isc",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or"
+        " without fee is hereby granted, provided that the above copyright notice and this permission"
+        " notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL"
+        " WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY"
+        " AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR"
+        " CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS,"
+        " WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN"
+        " CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+        ("permission to use copy modify", "the author disclaims all warranties"),
+    ),
+    Template(
+        "bsd",
+        "Redistribution and use in source and binary forms, with or without modification, are"
+        " permitted provided that the following conditions are met: 1. Redistributions of source code"
+        " must retain the above copyright notice, this list of conditions and the following"
+        " disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice,"
+        " this list of conditions and the following disclaimer in the documentation and/or other"
+        " materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS"
+        " AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED"
+        " TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE"
+        " DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT,"
+        " INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT"
+        " LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR"
+        " BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT,"
+        " STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE"
+        " USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+        ("redistribution and use in source and binary forms", "this list of conditions"),
+    ),
+    Template(
+        "zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will"
+        " the authors be held liable for any damages arising from the use of this software. Permission"
+        " is granted to anyone to use this software for any purpose, including commercial"
+        " applications, and to alter it and redistribute it freely, subject to the following"
+        " restrictions: 1. The origin of this software must not be misrepresented; you must not claim"
+        " that you wrote the original software. If you use this software in a product, an"
+        " acknowledgment in the product documentation would be appreciated but is not required."
+        " 2. Altered source versions must be plainly marked as such, and must not be misrepresented as"
+        " being the original software. 3. This notice may not be removed or altered from any source"
+        " distribution.",
+        ("must not be misrepresented", "altered source versions must be plainly marked"),
+    ),
+    Template(
+        "unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to"
+        " copy, modify, publish, use, compile, sell, or distribute this software, either in source"
+        " code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any"
+        " means. In jurisdictions that recognize copyright laws, the author or authors of this"
+        " software dedicate any and all copyright interest in the software to the public domain. We"
+        " make this dedication for the benefit of the public at large and to the detriment of our"
+        " heirs and successors. We intend this dedication to be an overt act of relinquishment in"
+        " perpetuity of all present and future rights to this software under copyright law.",
+        ("free and unencumbered software", "dedicate any and all copyright interest"),
+    ),
+    Template(
+        "apache-2",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file"
+        " except in compliance with the License. You may obtain a copy of the License at"
+        " http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in"
+        " writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT"
+        " WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the"
+        " specific language governing permissions and limitations under the License.",
+        ("the apache license version 2", "distributed under the license"),
+    ),
 )
 
 
@@ -162,7 +255,7 @@ def _least(columns: list[Column], pick) -> Column:
 
 def phrase_scan(docs: DataFrame, phrases: dict[str, str], keep: list[str]) -> DataFrame:
     """The kept columns, word count, places of the phrases and a digest of the words."""
-    rows = docs.select(*keep, canonical(F.col("text")).alias("words"))
+    rows = docs.select(*keep, _bound(canonical(F.col("text"))).alias("words"))
     blank = F.col("words") == "  "
     rows = rows.withColumn("n_words", F.when(blank, 0).otherwise(_spaces(F.col("words")) - 1))
     rows = rows.withColumn("n_words", F.col("n_words").cast("long"))
@@ -182,30 +275,45 @@ def phrase_scan(docs: DataFrame, phrases: dict[str, str], keep: list[str]) -> Da
 # --- the positional index -------------------------------------------------------
 
 
+def _bound(column: Column) -> Column:
+    """The value as a row of its own: nothing that uses it makes it anew."""
+    return F.explode(F.array(column))
+
+
+def _listed(docs: DataFrame) -> DataFrame:
+    """(text digest, list): the words of every text."""
+    words = docs.select(_bound(canonical(F.col("text"))).alias("words"))
+    return words.select(
+        F.sha2("words", 256).alias("text digest"), _bound(F.split(F.trim("words"), " ")).alias("list")
+    )
+
+
 def document_frequencies(docs: DataFrame, vocabulary: list[str]) -> tuple[int, dict[str, int]]:
     """Number of documents, and of those with each word; one row per template word comes back."""
-    words = F.split(canonical(F.col("text")), " ")
     known = F.array(*[F.lit(word) for word in vocabulary])
     # Every document counts once under the empty word as well.
-    each = F.concat(F.array_intersect(words, known), F.array(F.lit("")))
-    rows = docs.select(F.explode(each).alias("word")).groupBy("word").count().collect()
+    each = F.concat(F.array_intersect("list", known), F.array(F.lit("")))
+    rows = _listed(docs).select(F.explode(each).alias("word")).groupBy("word").count().collect()
     counts = {row.word: row["count"] for row in rows}
     return counts.pop("", 0), counts
 
 
+def _rarest_first(words: set[str], counts: dict[str, int]) -> list[str]:
+    """IDF falls with the document count, so the lowest counts come first; ties go to the longer word."""
+    return sorted(words, key=lambda w: (counts.get(w, 0), -len(w), w))
+
+
 def rare_postings(
     templates: tuple[Template, ...], counts: dict[str, int], rare_words: int
 ) -> list[tuple[str, int, int, int, int]]:
-    """(word, template, position, length, bit): each template under its words of highest IDF.
-
-    IDF falls with the document count, so the lowest counts come first; ties go to the longer word.
-    """
+    """(word, template, position, length, bit): each template under its words of highest IDF."""
     postings = []
     for number, template in enumerate(templates):
-        ordered = sorted(set(template.words), key=lambda w: (counts.get(w, 0), -len(w), w))
-        for bit, word in enumerate(ordered[:rare_words]):
-            places = [n for n, other in enumerate(template.words) if other == word]
-            postings += [(word, number, at, len(template.words), 1 << bit) for at in places]
+        words = template.words
+        chosen = _rarest_first(set(words), counts)[: min(rare_words + len(words) // 20, MOST_WORDS)]
+        for bit, word in enumerate(chosen):
+            places = [n for n, other in enumerate(words) if other == word]
+            postings += [(word, number, at, len(words), 1 << bit) for at in places]
     return postings
 
 
@@ -213,6 +321,7 @@ def template_labels(
     docs: DataFrame,
     templates: tuple[Template, ...] = TEMPLATES,
     rare_words: int = RARE_WORDS,
+    file_words: int = FILE_WORDS,
     min_agreeing: int = MIN_AGREEING,
     min_score: float = MIN_SCORE,
 ) -> DataFrame:
@@ -220,51 +329,22 @@ def template_labels(
     spark = docs.sparkSession
     _, counts = document_frequencies(docs, sorted({w for t in templates for w in t.words}))
     postings = rare_postings(templates, counts, rare_words)
-
-    words = F.col("words")
-    possible = F.lit(False)
-    for template in templates:
-        phrases = F.lit(True)
-        for phrase in template.key_phrases:
-            phrases = phrases & _has(words, phrase)
-        possible = possible | phrases
-    rows = (
-        docs.select(canonical(F.col("text")).alias("words"))
-        .where(possible)
-        .select(
-            F.sha2("words", 256).alias("text digest"),
-            F.split(F.trim("words"), " ").alias("list"),
-        )
-    )
-    index = F.array(
-        *[
-            F.struct(*[F.lit(v).alias(n) for v, n in zip(p, ("word", "template", "at", "length", "bit"))])
-            for p in postings
-        ]
+    index_words = _rarest_first({p[0] for p in postings}, counts)
+
+    # What both arrays hold comes in the order of the first: the rarest first.
+    own = F.slice(F.array_intersect(F.array(*[F.lit(w) for w in index_words]), "list"), 1, file_words)
+    files = _listed(docs).select("*", _bound(own).alias("rare")).where(F.size("rare") >= min_agreeing)
+    hits = files.select("*", F.posexplode("list").alias("place", "word"))
+    hits = hits.where(F.array_contains("rare", F.col("word")))
+    index = spark.createDataFrame(postings, "word string, template int, at int, length int, bit long")
+    start = F.col("place") - F.col("at")
+    around = F.slice("list", F.greatest(start - MARGIN, F.lit(0)) + 1, F.col("length") + 2 * MARGIN)
+    proposed = hits.join(index, "word").select(
+        "text digest", "template", start.alias("start"), "bit", around.alias("around")
     )
-    index_words = F.array(*[F.lit(word) for word in sorted({p[0] for p in postings})])
-    numbered = F.transform("list", lambda word, at: F.struct(word.alias("word"), at.alias("place")))
-    hits = F.filter(numbered, lambda hit: F.array_contains(index_words, hit["word"]))
-
-    def proposals(hit: Column) -> Column:
-        return F.transform(
-            F.filter(index, lambda p: p["word"] == hit["word"]),
-            lambda p: F.struct(
-                p["template"].alias("template"),
-                (hit["place"] - p["at"]).alias("start"),
-                p["bit"].alias("bit"),
-                F.slice(
-                    "list",
-                    F.greatest(hit["place"] - p["at"] - MARGIN, F.lit(0)) + 1,
-                    p["length"] + 2 * MARGIN,
-                ).alias("around"),
-            ),
-        )
-
-    proposed = rows.select("text digest", F.explode(F.flatten(F.transform(hits, proposals))).alias("p"))
     agreed = (
-        proposed.groupBy("text digest", "p.template", "p.start")
-        .agg(F.bit_or("p.bit").alias("agreeing"), F.any_value("p.around").alias("around"))
+        proposed.groupBy("text digest", "template", "start")
+        .agg(F.bit_or("bit").alias("agreeing"), F.any_value("around").alias("around"))
         .where(F.bit_count("agreeing") >= min_agreeing)
     )
     return (

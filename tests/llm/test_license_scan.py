@@ -3,7 +3,8 @@ from __future__ import annotations
 import random
 import re
 
-from gridtide.llm.license_scan import PHRASES, TEMPLATES, rare_postings, scan_licences
+from gridtide.llm import license_scan
+from gridtide.llm.license_scan import PHRASES, TEMPLATES, Template, rare_postings, scan_licences
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 SCHEMA = "doc_id long, text string, labels string, words string"
@@ -80,6 +81,91 @@ def test_rarest_words_are_indexed():
     ]
 
 
+def brute_labels(texts, templates, rare_words, file_words, min_agreeing, min_score):
+    """Labels and score of each text, start by start."""
+    lists = [WORD.findall(lower(text)) for text in texts]
+    held = [set(words) for words in lists]
+    vocabulary = {w for t in templates for w in t.words}
+    counts = {w: sum(w in own for own in held) for w in vocabulary}
+
+    def rarest(words):
+        return sorted(words, key=lambda w: (counts[w], -len(w), w))
+
+    chosen = [set(rarest(set(t.words))[: rare_words + len(t.words) // 20]) for t in templates]
+    index = set().union(*chosen)
+    out = []
+    for words, own in zip(lists, held):
+        rare = set(rarest(own & index)[:file_words])
+        labels, best = set(), 0.0
+        for template, indexed in zip(templates, chosen):
+            wanted = template.words
+            for start in range(-len(wanted), len(words)):
+                agreeing = {
+                    w for at, w in enumerate(wanted)
+                    if w in indexed & rare and 0 <= start + at < len(words) and words[start + at] == w
+                }
+                low = max(start - license_scan.MARGIN, 0)
+                around = words[low : low + len(wanted) + 2 * license_scan.MARGIN]
+                score = len(set(around) & set(wanted)) / len(set(wanted))
+                text = f" {' '.join(around)} "
+                if len(agreeing) >= min_agreeing and score >= min_score:
+                    if all(f" {phrase} " in text for phrase in template.key_phrases):
+                        labels.add(template.label)
+                        best = max(best, score)
+        out.append((labels, best))
+    return out
+
+
+def damaged(rng, words, vocabulary):
+    """Words with some replaced, dropped or doubled."""
+    out = []
+    for word in words:
+        chance = rng.random()
+        out += [] if chance < 0.02 else [word, word] if chance < 0.03 else [rng.choice(vocabulary)] if chance < 0.07 else [word]
+    return out
+
+
+def test_labels_and_score_equal_brute_force(spark):
+    rng = random.Random(12)
+    vocabulary = sorted({w for t in TEMPLATES for w in t.words}) + [f"w{n}" for n in range(150)]
+    filler = ["the", "of", "software", "license", "w1", "w2", "mit", "and", "or", "version"]
+    texts = list(TEXTS[:-1])
+    for _ in range(220):
+        parts = []
+        for _ in range(rng.randint(0, 3)):
+            parts += rng.choices(filler + vocabulary[:40], k=rng.randint(0, 40))
+            parts += damaged(rng, rng.choice(TEMPLATES).words, vocabulary)
+        texts.append(" ".join(parts))
+    for rare_words, file_words in ((license_scan.RARE_WORDS, license_scan.FILE_WORDS), (2, 6)):
+        docs = spark.createDataFrame([(n, t, "x", "y") for n, t in enumerate(texts)], SCHEMA)
+        found = license_scan.template_labels(docs, TEMPLATES, rare_words, file_words).collect()
+        digests = {r["text digest"]: (set(r.found), r.best) for r in found}
+        words = docs.select("doc_id", license_scan.F.sha2(license_scan.canonical(docs.text), 256).alias("d"))
+        got = {r.doc_id: digests.get(r.d, (set(), 0.0)) for r in words.collect()}
+        want = brute_labels(texts, TEMPLATES, rare_words, file_words, license_scan.MIN_AGREEING, license_scan.MIN_SCORE)
+        assert got == dict(enumerate(want))
+        assert sum(bool(labels) for labels, _ in want) > 100
+
+
+def test_whole_texts_amid_other_words_and_cut_ones(spark):
+    whole = max((t for t in TEMPLATES if t.label == "mit"), key=lambda t: len(t.text))
+    texts = ["Copyright 2020 someone. " + whole.text, "x " * 3000 + whole.text + " y" * 3000,
+             " ".join(whole.words[: len(whole.words) // 2])]
+    got = scanned(spark, texts)
+    assert [got[n].labels for n in range(3)] == ["mit", "mit", "mit"]
+    assert [got[n].score for n in range(2)] == [1.0, 1.0]
+    template = Template("own", "Zebra, YAK and the Gnu!", ("yak and",))
+    docs = spark.createDataFrame([(1, "a zebra yak and the gnu", "x", "y"), (2, "zebra gnu", "x", "y")], SCHEMA)
+    got = {r.doc_id: (r.labels, r.score) for r in scan_licences(docs, KEEP, templates=(template,)).collect()}
+    assert got == {1: ("own", 1.0), 2: ("", 0.0)}
+
+
+def test_the_canonical_text_is_made_once_in_each_pass(spark):
+    docs = spark.createDataFrame([(1, "x", "x", "y")], SCHEMA)
+    plan = scan_licences(docs, KEEP)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 2
+
+
 def test_repeated_rows_nulls_and_empty_table(spark):
     rows = [(None, TEXTS[0], "x", "y")] * 3 + [(1, None, None, None)]
     docs = spark.createDataFrame(rows, SCHEMA)
