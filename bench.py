@@ -16,6 +16,7 @@ import statistics
 import tempfile
 import time
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,7 +24,7 @@ from gridtide.catalog import inputs
 from gridtide.catalog.queries import OVER_TABLES, QUERIES, report
 from gridtide.plans import rebuild
 from gridtide.schemas import TABLES
-from gridtide.sources.tables import append_partitioned
+from gridtide.sources.tables import append_partitioned, days_between
 
 
 def session(cpus: str, shared: str) -> SparkSession:
@@ -65,7 +66,7 @@ def build_tables(spark: SparkSession, sf_dir: str, root: str) -> tuple[str, dict
             )
         ),
     }
-    days = [f"2024-01-{day:02}" for day in range(1, 31)]
+    days = days_between(spark, date(2024, 1, 1), date(2024, 12, 31))
     seconds["rebuild_market"] = timed(lambda: rebuild.rebuild_market(spark, market, tables, days))
     seconds["rebuild_weather"] = timed(
         lambda: rebuild.rebuild_weather(spark, weather, tables, days)

@@ -19,10 +19,11 @@ from datetime import date
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from gridtide.plans.rebuild import day_range, yesterday
+from gridtide.plans.rebuild import yesterday
 from gridtide.sources.batches import BATCH
 from gridtide.sources.documents import market_records, read_documents
 from gridtide.sources.json_lines import FILES_PER_BATCH, write_lines
+from gridtide.sources.tables import days_between
 from gridtide.streaming.counts import read_counts
 from gridtide.streaming.ingest import MARKET, WEATHER, compact_clean, start_ingest
 
@@ -75,7 +76,7 @@ def main() -> None:
         print(f"batches replaced\t{len(replaced)}")
     else:
         first = given.first or given.last or yesterday()
-        days = day_range(first, given.last or first)
+        days = days_between(spark, first, given.last or first)
         counts = FEEDS[given.feed].rebuild(spark, given.clean, given.tables, days)
         for name, rows in counts.items():
             print(f"{name}\t{rows}")

@@ -76,13 +76,19 @@ LOAD_AREA = "o_custkey DIV 15"
 WEATHER_AREA = "user_id * 2 DIV 3"
 
 
-def _hours_on(hours: str) -> str:
-    return f"timestampadd(HOUR, {hours}, TIMESTAMP_NTZ'{FIRST_DAY} 00:00:00')"
+# Readings lie on three days in the middle of each month, so a key repeats about once in ten.
+READING_DAYS = 3
 
 
-def _day_text(day_of_month: str) -> str:
-    """ISO text of midnight on a day of the first month."""
-    return f"concat('{FIRST_DAY[:8]}', lpad(CAST({day_of_month} AS STRING), 2, '0'), 'T00:00Z')"
+def _time_in(month: str, hours: str) -> str:
+    """An hour of the reading days in a month of the first year."""
+    first = f"make_date({FIRST_DAY[:4]}, {month}, {DAY[8:]} - 1)"
+    return f"timestampadd(HOUR, {hours} % {24 * READING_DAYS}, CAST({first} AS TIMESTAMP_NTZ))"
+
+
+def _day_text(time: str, later: int = 0) -> str:
+    """ISO text of midnight of a time's day, or of a later one."""
+    return f"concat(CAST(date_add(to_date({time}), {later}) AS STRING), 'T00:00Z')"
 
 
 def generation_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,8 +96,7 @@ def generation_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey")
     )
-    hour = "(l_orderkey * 7 + l_linenumber) % 720"
-    time = _hours_on(hour)
+    time = _time_in("month(l_shipdate)", "(l_orderkey * 7 + l_linenumber)")
     return _with_area(joined, "l_suppkey", spark, sf_dir).selectExpr(
         f"to_date({time}) AS event_date",
         f"{time} AS timestamp_utc",
@@ -107,8 +112,8 @@ def generation_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "IF(l_linestatus = 'O', 'realised', 'day_ahead') AS process_type_label",
         "IF(l_linestatus = 'O', 'generation_forecast_wind_solar',"
         " 'day_ahead_aggregated_generation') AS forecast_dataset",
-        f"{_day_text(f'({hour}) DIV 24 + 1')} AS period_start",
-        f"{_day_text(f'({hour}) DIV 24 + 2')} AS period_end",
+        f"{_day_text(time)} AS period_start",
+        f"{_day_text(time, 1)} AS period_end",
         "l_quantity - 2 AS quantity_mw",
         "l_quantity * (1 + l_discount - l_tax) AS forecast_mw",
         "IF(l_tax = 0.08D, NULL, l_extendedprice / 1000) AS price_amount",
@@ -133,7 +138,7 @@ def forecast_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A load reading per order."""
     orders = table(spark, sf_dir, "orders")
-    time = _hours_on("(o_orderkey * 7 + 1) % 720")
+    time = _time_in("month(o_orderdate)", "(o_orderkey * 7 + 1)")
     return _with_area(orders, LOAD_AREA, spark, sf_dir).selectExpr(
         f"to_date({time}) AS event_date",
         f"{time} AS timestamp_utc",
@@ -141,8 +146,8 @@ def load_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "IF(o_orderstatus = 'O', 'day_ahead_total_load_forecast', 'actual_total_load') AS dataset",
         "IF(o_orderpriority = '5-LOW', 0.0D, o_totalprice / 1000) AS quantity_mw",
         "IF(o_orderstatus = 'O', 'day_ahead', 'realised') AS process_type_label",
-        f"{_day_text('(o_orderkey * 7 + 1) % 720 DIV 24 + 1')} AS period_start",
-        f"{_day_text('(o_orderkey * 7 + 1) % 720 DIV 24 + 2')} AS period_end",
+        f"{_day_text(time)} AS period_start",
+        f"{_day_text(time, 1)} AS period_end",
         "'PT60M' AS resolution",
         "'MAW' AS unit",
         "'entsoe' AS source",
@@ -152,11 +157,12 @@ def load_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weather_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A weather observation per event."""
+    """A weather observation per event; the events of one month are dealt to all months."""
     events = table(spark, sf_dir, "events")
+    time = _time_in("event_id % 12 + 1", f"(day(ts) % {READING_DAYS} * 24 + hour(ts))")
     return _with_area(events, WEATHER_AREA, spark, sf_dir).select(
-        F.expr("to_date(ts)").alias("event_date"),
-        hour_floor("ts").alias("observation_timestamp_utc"),
+        F.expr(f"to_date({time})").alias("event_date"),
+        hour_floor(F.expr(time)).alias("observation_timestamp_utc"),
         *[
             F.expr(value)
             for value in (

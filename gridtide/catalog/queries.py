@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -420,8 +421,24 @@ def backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean_path = _stored_readings(spark, sf_dir)
     weather_path = storage.shared_folder(spark, "clean-weather")
     storage.append_partitioned(inputs.clean_weather(spark, sf_dir), weather_path, ["event_date"])
-    root = storage.shared_folder(spark, "tables")
     days = ["2024-01-14", inputs.DAY, "2024-01-16"]
+    return _rebuilt_totals(spark, clean_path, weather_path, days)
+
+
+@registered("backfill_years")
+def backfill_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for every day there is, asked for as a range of ten years."""
+    clean_path = _stored_readings(spark, sf_dir)
+    weather_path = storage.shared_folder(spark, "clean-weather")
+    storage.append_partitioned(inputs.clean_weather(spark, sf_dir), weather_path, ["event_date"])
+    days = storage.days_between(spark, date(2016, 1, 1), date(2025, 12, 31))
+    return _rebuilt_totals(spark, clean_path, weather_path, days)
+
+
+def _rebuilt_totals(
+    spark: SparkSession, clean_path: str, weather_path: str, days: list[str] | DataFrame
+) -> DataFrame:
+    root = storage.shared_folder(spark, "tables")
     rebuild.rebuild_market(spark, clean_path, root, days)
     rebuild.rebuild_weather(spark, weather_path, root, days)
     tables = rebuild.open_tables(spark, root)

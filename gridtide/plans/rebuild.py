@@ -1,6 +1,7 @@
 """Rebuild the analysis tables for any set of days.
 
-All days go through one job per table.  A daily aggregate reads back the fact
+All days go through one job per table; a long range is a frame of days
+(``days_between``), which prunes partitions while the scan runs.  A daily aggregate reads back the fact
 days just written, so the fact is computed once and the lineage ends at a table.
 """
 
@@ -38,8 +39,13 @@ def day_range(first: date, last: date) -> list[str]:
     return [(first + timedelta(days=n)).isoformat() for n in range((last - first).days + 1)]
 
 
-def _texts_of(days: Iterable[str] | None) -> list[str]:
-    """Days as text: yesterday where none are named, nothing for an empty list."""
+Days = Iterable[str] | DataFrame | None
+
+
+def _named(days: Days) -> list[str] | DataFrame:
+    """Days as text or as they are in a frame: yesterday where none are named, none for an empty list."""
+    if isinstance(days, DataFrame):
+        return days
     return [str(day) for day in ([yesterday()] if days is None else days)]
 
 
@@ -60,7 +66,7 @@ def _overwrite(root: str, name: str, rows: DataFrame) -> int:
     return overwrite_days(rows, table_path(root, name), TABLES[name])
 
 
-def _written(spark: SparkSession, root: str, name: str, days: list[str]) -> DataFrame:
+def _written(spark: SparkSession, root: str, name: str, days: list[str] | DataFrame) -> DataFrame:
     create_if_absent(spark, table_path(root, name), TABLES[name])
     return read_table(spark, table_path(root, name), TABLES[name], days)
 
@@ -69,7 +75,7 @@ def rebuild_market(
     spark: SparkSession,
     clean: str,
     root: str,
-    days: Iterable[str] | None = None,
+    days: Days = None,
     changed: Iterable[str] | None = None,
 ) -> dict[str, int]:
     """Rebuild the market tables; returns rows written per table.
@@ -78,7 +84,7 @@ def rebuild_market(
     none of them.  A table that is rebuilt reads all its datasets, since its
     days are replaced as a whole.
     """
-    days = _texts_of(days)
+    days = _named(days)
     changed = None if changed is None else set(changed)
     counts = {}
     for name, (datasets, build) in MARKET_FACTS.items():
@@ -95,14 +101,14 @@ def rebuild_weather(
     spark: SparkSession,
     clean: str,
     root: str,
-    days: Iterable[str] | None = None,
+    days: Days = None,
     changed: Iterable[str] | None = None,
 ) -> dict[str, int]:
     """Rebuild the two weather tables; returns rows written per table.
 
     Weather is one dataset, so ``changed`` makes no difference here.
     """
-    days = _texts_of(days)
+    days = _named(days)
     observations = read_table(spark, clean, WEATHER_CLEAN, days)
     counts = {}
     name = "fact_hourly_weather"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -37,26 +38,47 @@ def append_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:
     df.hint("rebalance", *by).write.partitionBy(*by).mode("append").parquet(path)
 
 
+def days_between(spark: SparkSession, first: date, last: date) -> DataFrame:
+    """A row per day of a range, for ``read_table``; nothing where the range ends before it begins.
+
+    The days are counted off, not listed, and the bounds stand as a filter on
+    them: that tells the planner to prune the partitions of the table they are
+    joined with while it runs, however long the range.
+    """
+    count = max((last - first).days + 1, 0)
+    day = F.date_add(F.lit(first), F.col("id").cast("int")).alias(DAY)
+    return spark.range(count).select(day).where(F.col(DAY).between(F.lit(first), F.lit(last)))
+
+
+def _on_days(table: DataFrame, days: Iterable[str] | DataFrame) -> DataFrame:
+    if isinstance(days, DataFrame):
+        kind = table.schema[DAY].dataType
+        wanted = days.select(F.col(days.columns[0]).cast(kind).alias(DAY))
+        return table.join(wanted, DAY, "left_semi")
+    return table.where(F.col(DAY).isin([str(day) for day in days]))
+
+
 def read_table(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
-    days: Iterable[str] | None = None,
+    days: Iterable[str] | DataFrame | None = None,
     datasets: Iterable[str] | None = None,
     merge_schema: bool = False,
 ) -> DataFrame:
     """Scan a table with its declared schema, pruned to days and datasets.
 
-    Several datasets need one scan, not a union.  Columns that older files lack
-    read as null.
+    Days are a few texts, which become a filter, or a frame of one column, which
+    is joined and prunes while the scan runs.  Several datasets need one scan,
+    not a union.  Columns that older files lack read as null.
     """
     reader = spark.read.schema(schema).option("mergeSchema", merge_schema)
     table = reader.option("pathGlobFilter", "*.parquet").parquet(path).select(*schema.names)
-    if days is not None:
-        table = table.where(F.col(DAY).isin([str(day) for day in days]))
     if datasets is not None:
         table = table.where(F.col("dataset").isin(list(datasets)))
-    return table
+    if days is not None:
+        table = _on_days(table, days)
+    return table.select(*schema.names)
 
 
 def create_if_absent(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,8 +11,8 @@ from gridtide.catalog import inputs
 from gridtide.catalog.queries import QUERIES, report
 from gridtide.operators.weather import fact_hourly_weather
 from gridtide.plans import rebuild
-from gridtide.schemas import TABLES, WEATHER_CLEAN, conform
-from gridtide.sources.tables import overwrite_days
+from gridtide.schemas import MARKET_CLEAN, TABLES, WEATHER_CLEAN, conform
+from gridtide.sources.tables import append_partitioned, days_between, overwrite_days, read_table
 
 BATCH = sorted(
     name
@@ -24,6 +26,9 @@ BATCH = sorted(
         "idempotent_overwrite",
         "schema_evolution_read",
         "write_counts",
+        "ingest_counts",
+        "quarantine_retaken",
+        "clean_compacted",
     )
 )
 
@@ -112,3 +117,46 @@ def test_one_day_reports_prune_stored_days(spark, sf_dir, tmp_path):
         plan = plan_of(report(name, tables))
         scans = [line for line in plan.splitlines() if "PartitionFilters" in line]
         assert scans and all("event_date" in line.split("PartitionFilters")[1].split("]")[0] for line in scans)
+
+
+def test_a_range_of_years_prunes_without_a_list_of_days(spark, sf_dir, tmp_path):
+    clean = str(tmp_path / "clean")
+    append_partitioned(inputs.clean_readings(spark, sf_dir), clean, ["event_date", "dataset"])
+    decade = days_between(spark, date(2024, 6, 15), date(2034, 6, 14))
+    before = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        rows = read_table(spark, clean, MARKET_CLEAN, decade, ["actual_total_load"])
+        plan = plan_of(rows)
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", before)
+    filters = plan[plan.index("PartitionFilters"):].split("\n")[0]
+    assert "dynamicpruningexpression(event_date" in filters and "dataset" in filters
+    assert "2024-06-16" not in plan
+    whole = read_table(spark, clean, MARKET_CLEAN, None, ["actual_total_load"])
+    want = whole.where("event_date BETWEEN '2024-06-15' AND '2034-06-14'")
+    assert rows.columns == want.columns and 0 < rows.count() == want.count() < whole.count()
+    assert rows.exceptAll(want).count() == 0
+    files = {name for (name,) in rows.select(F.input_file_name()).distinct().collect()}
+    assert all("event_date=2024-06-14" not in name for name in files)
+    assert read_table(spark, clean, MARKET_CLEAN, days_between(spark, date(2024, 2, 1), date(2024, 1, 1))).count() == 0
+
+
+def test_a_rebuild_of_a_range_equals_that_of_its_days(spark, sf_dir, tmp_path):
+    clean = str(tmp_path / "clean")
+    append_partitioned(inputs.clean_readings(spark, sf_dir), clean, ["event_date", "dataset"])
+    days = [date(2024, month, 14) for month in (3, 4)]
+    span = days_between(spark, date(2024, 3, 14), date(2024, 4, 14)).where("day(event_date) = 14")
+    counts = [
+        rebuild.rebuild_market(spark, clean, str(tmp_path / name), chosen)
+        for name, chosen in (("list", [str(day) for day in days]), ("range", span))
+    ]
+    assert counts[0] == counts[1] and counts[0]["agg_daily_generation_mix"] > 0
+
+
+def test_readings_lie_in_twelve_months(spark, sf_dir):
+    tables = inputs.tables(spark, sf_dir)
+    for name in ("fact_generation", "fact_load", "fact_hourly_weather"):
+        assert tables[name].selectExpr("month(event_date)").distinct().count() == 12
+    months = report("q15_monthly_benchmark", tables).select("month").distinct().count()
+    assert months == 12
