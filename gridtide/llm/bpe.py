@@ -25,10 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtide.llm.common import kept_by_worker, no_cycle_search
+from gridtide.llm.common import Recent, kept_by_worker, no_cycle_search, slices
 
-KEPT_PARTS = 400_000
-TEXTS_AT_ONCE = 4096
+SLICE_BYTES = 8 << 20
+# Twice so many entries at most, none of a longer key: 200 to 400 bytes each.
+KEPT_PARTS = 150_000
+KEPT_WORDS = 100_000
+LONGEST_KEPT = 64
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -143,15 +146,29 @@ class MergeReplay:
         return out
 
     def encode_word(self, word: bytes) -> list[int]:
-        """One word, merge by merge."""
+        """One word, merge by merge: the lowest rank first, of equal ones the first place."""
         ids = [int(self._bytes[b]) for b in word]
-        while True:
-            ranks = [self._merged.get(pair, self.NONE) for pair in zip(ids, ids[1:])]
-            rank = min(ranks, default=self.NONE)
-            if rank == self.NONE:
-                return ids
-            at = ranks.index(rank)
-            ids[at : at + 2] = [rank]
+        count = len(ids)
+        before, behind = list(range(-1, count - 1)), list(range(1, count + 1))
+        queue = [(self._merged.get(pair, self.NONE), at) for at, pair in enumerate(zip(ids, ids[1:]))]
+        queue = [entry for entry in queue if entry[0] != self.NONE]
+        heapq.heapify(queue)
+        while queue:
+            rank, at = heapq.heappop(queue)
+            after = behind[at]
+            # A place may have been merged away, or have another neighbour by now.
+            if ids[at] < 0 or after >= count or self._merged.get((ids[at], ids[after])) != rank:
+                continue
+            ids[at], ids[after] = int(rank), -1
+            behind[at] = behind[after]
+            if behind[at] < count:
+                before[behind[at]] = at
+            for low, high in ((before[at], at), (at, behind[at])):
+                if low >= 0 and high < count:
+                    made = self._merged.get((ids[low], ids[high]), self.NONE)
+                    if made != self.NONE:
+                        heapq.heappush(queue, (made, low))
+        return [n for n in ids if n >= 0]
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join([self.tokens[n] for n in ids])
@@ -181,13 +198,13 @@ class CorpusEncoder:
         self.replay = MergeReplay(read_ranks(ranks_path))
         self._split = regex.compile(pattern).findall
         self._joined = re.compile(r"\s \s|\s \Z").search
-        self._parts: dict[str, tuple[bytes, bytes]] = {}
-        self._words: dict[str, np.ndarray] = {}
+        self._parts = Recent(KEPT_PARTS, LONGEST_KEPT)  # ids, and the ids spelled out
+        self._words = Recent(KEPT_WORDS, LONGEST_KEPT)
         self._numerals = {n: b"%d" % n for n in self.replay.tokens}
 
     @classmethod
     def of_worker(cls, ranks_path: str, pattern: str) -> CorpusEncoder:
-        kept, key = kept_by_worker(), ("byte bpe", ranks_path, pattern)
+        kept, key = kept_by_worker("bpe"), ("byte bpe", ranks_path, pattern)
         return kept.get(key) or kept.setdefault(key, cls(ranks_path, pattern))
 
     def _parts_of(self, text: str | None) -> list[str]:
@@ -200,30 +217,30 @@ class CorpusEncoder:
         return [first, *parts] if first else parts
 
     def _learn(self, parts: list[str]) -> None:
-        if len(self._words) > KEPT_PARTS:
-            self._words.clear()
-        known, split = self._words, [self._split(part) for part in parts]
-        new = list({word for words in split for word in words if word not in known})
+        split = [self._split(part) for part in parts]
+        every = set().union(*split)
+        new = list(self._words.missing(every))
+        known, made, numerals = self._words.now, self._parts.now, self._numerals
         known.update(zip(new, self.replay.encode([word.encode() for word in new])))
-        numerals = self._numerals
         for part, words in zip(parts, split):
             ids = known[words[0]] if len(words) == 1 else np.concatenate([known[w] for w in words])
             spelled = b" ".join([numerals[n] for n in ids.tolist()])
-            self._parts[part] = (ids.tobytes(), spelled)
+            made[part] = (ids.tobytes(), spelled)
+        self._words.forget_long(every)
 
-    def encode(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, bytes]]:
+    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, bytes]]:
         """The ids of each text, and the ids as decimal numbers with single spaces between."""
         split = [self._parts_of(text) for text in texts]
-        new = set().union(*split).difference(self._parts)
-        if len(self._parts) + len(new) > KEPT_PARTS and self._parts:
-            self._parts.clear()
-            new = set().union(*split)
+        every = set().union(*split)
         with no_cycle_search():
-            self._learn(list(new))
+            self._learn(list(self._parts.missing(every)))
+        known, encoded = self._parts.now, []
         for parts in split:
-            found = [self._parts[part] for part in parts]
+            found = [known[part] for part in parts]
             ids = np.frombuffer(b"".join([f[0] for f in found]), np.int32)
-            yield ids, b" ".join([f[1] for f in found])
+            encoded.append((ids, b" ".join([f[1] for f in found])))
+        self._parts.forget_long(every)
+        return encoded
 
 
 def _encoded(ranks_path: str, pattern: str, with_ids: bool):
@@ -232,8 +249,8 @@ def _encoded(ranks_path: str, pattern: str, with_ids: bool):
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = CorpusEncoder.of_worker(ranks_path, pattern)
         for batch in batches:
-            for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                some = batch.slice(start, TEXTS_AT_ONCE)
+            for start, count in slices(batch.column(1), SLICE_BYTES):
+                some = batch.slice(start, count)
                 rows: list[list] = [[], [], [], []]
                 for ids, spelled in encoder.encode(some.column(1).to_pylist()):
                     decoded = encoder.replay.decode(ids.tolist())

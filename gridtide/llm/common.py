@@ -8,6 +8,9 @@ import sys
 import types
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,10 +39,64 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def kept_by_worker() -> dict:
-    """What a Python worker keeps from task to task, such as vocabularies it has read."""
+def kept_by_worker(owner: str) -> dict:
+    """What a Python worker keeps from task to task, such as vocabularies it has read.
+
+    It is let go as soon as the worker gets a task of another owner, so stages
+    that follow each other do not add up.
+    """
     name = "kept by the worker"
-    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    held = sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    if held.get("owner") != owner:
+        held.clear()
+        held["owner"] = owner
+    return held.setdefault("values", {})
+
+
+class Recent:
+    """Values by key that are expensive to make: a bounded number, those used last.
+
+    ``now`` has at most ``limit`` keys and those of one call.  When it is full it
+    becomes what was kept before; a key that is asked for again comes back from
+    there, the others go.  Keys longer than ``longest`` are forgotten after the
+    call, so the bytes held are bounded as well.
+    """
+
+    def __init__(self, limit: int, longest: int) -> None:
+        self.now: dict = {}
+        self._before: dict = {}
+        self._limit, self._longest = limit, longest
+
+    def missing(self, keys: set) -> set:
+        """The keys whose values must be made; the others are in ``now`` until the next call."""
+        if len(self.now) > self._limit:
+            self.now, self._before = {}, self.now
+        new = keys.difference(self.now)
+        back = new.intersection(self._before)
+        self.now.update((key, self._before[key]) for key in back)
+        return new - back
+
+    def forget_long(self, keys: set) -> None:
+        """Let go what was made for one call only."""
+        for key in keys:
+            if len(key) > self._longest:
+                self.now.pop(key, None)
+
+
+def byte_lengths(texts: pa.Array) -> np.ndarray:
+    """Bytes of each text, 0 for null."""
+    return pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def slices(texts: pa.Array, most_bytes: int) -> Iterator[tuple[int, int]]:
+    """(start, count) of the slices of a batch: of bounded bytes, one text at least."""
+    ends = np.cumsum(byte_lengths(texts))
+    start = 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        end = max(int(np.searchsorted(ends, before + most_bytes, "right")), start + 1)
+        yield start, end - start
+        start = end
 
 
 @contextlib.contextmanager

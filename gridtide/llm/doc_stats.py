@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridtide.llm.common import kept_by_worker
+
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\v\f\r"
 CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
@@ -66,6 +68,7 @@ def counts(text: str | None) -> tuple[int, ...]:
 
 def _counted(keep_text: bool):
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_by_worker("doc stats")  # lets go what other stages have kept
         for batch in batches:
             rows = [counts(text.as_py()) for text in batch.column("text")]
             counted = list(zip(*rows)) or [()] * len(COUNTS)

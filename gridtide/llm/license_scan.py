@@ -339,6 +339,7 @@ def template_labels(
     index = spark.createDataFrame(postings, "word string, template int, at int, length int, bit long")
     start = F.col("place") - F.col("at")
     around = F.slice("list", F.greatest(start - MARGIN, F.lit(0)) + 1, F.col("length") + 2 * MARGIN)
+    around = F.concat(F.lit(" "), F.array_join(around, " "), F.lit(" "))  # smaller than the array
     proposed = hits.join(index, "word").select(
         "text digest", "template", start.alias("start"), "bit", around.alias("around")
     )
@@ -349,9 +350,8 @@ def template_labels(
     )
     return (
         agreed.join(_template_table(spark, templates), "template")
-        .withColumn("score", F.size(F.array_intersect("around", "wording")) / F.size("wording"))
+        .withColumn("score", F.size(F.array_intersect(F.split("around", " "), "wording")) / F.size("wording"))
         .where(F.col("score") >= min_score)
-        .withColumn("around", F.concat(F.lit(" "), F.array_join("around", " "), F.lit(" ")))
         .where(F.forall("phrases", lambda p: F.contains("around", F.concat(F.lit(" "), p, F.lit(" ")))))
         .groupBy("text digest")
         .agg(F.collect_set("label").alias("found"), F.max("score").alias("best"))

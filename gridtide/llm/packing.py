@@ -22,6 +22,7 @@ carried along, repeated rows are packed each, an empty table gives no pieces.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -35,14 +36,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtide.llm.common import kept_by_worker, no_cycle_search
+from gridtide.llm.common import Recent, kept_by_worker, no_cycle_search, slices
 
 TIERS = (256, 512, 1024, 2048)
 END_ID = 1
 ID_BYTES = 4
-TEXTS_AT_ONCE = 512
-KEPT_PARTS = 1_200_000
-KEPT_WORDS = 800_000
+SLICE_BYTES = 2 << 20
+# Twice so many entries at most, none of a longer key: about 200 bytes each.
+KEPT_PARTS = 200_000
+KEPT_WORDS = 100_000
+LONGEST_KEPT = 64
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,"
@@ -57,9 +60,17 @@ class WordTokenizer:
     between ASCII white space, one after the other.  A part of Latin letters,
     digits and marks splits into lower-case words; words and parts are encoded
     once and kept.  Every other part goes through the tokenizer as it is.
+
+    That holds for files that lower-case, split by a pattern into words and mark
+    the end of each.  Texts of any other file go through the tokenizer whole.
     """
 
     WORD_END = "</w>"
+    NORMALIZERS = [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ]
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -67,20 +78,36 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        pattern = self.word_pattern(self._tokenizer.to_str())
+        self._by_words = pattern is not None
         size = self._tokenizer.get_vocab_size()
         tokens = [self._tokenizer.id_to_token(n) or "" for n in range(size)]
         self._ends = [token.endswith(self.WORD_END) for token in tokens]
-        self._parts: dict[bytes, bytes] = {}
-        self._words: dict[str, bytes] = {}
+        self._parts = Recent(KEPT_PARTS, LONGEST_KEPT)
+        self._words = Recent(KEPT_WORDS, LONGEST_KEPT)
         # Code points whose case and kind no library disagrees about, and the split into words.
         self._plain = re.compile("[!-~\u00a1-\u012f\u0131-\u024f]+").fullmatch
-        self._split = regex.compile(
-            r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
-        ).findall
+        self._split = regex.compile(pattern or "").findall
+
+    @classmethod
+    def word_pattern(cls, file: str) -> str | None:
+        """The pattern of the words of a tokenizer file; null if it works another way."""
+        spec = json.loads(file)
+        steps = (spec["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+        kind = {key: steps[0].get(key) for key in ("type", "behavior", "invert")}
+        later = [(step.get("type"), step.get("use_regex"), step.get("add_prefix_space")) for step in steps[1:]]
+        by_words = (
+            (spec["normalizer"] or {}).get("normalizers") == cls.NORMALIZERS
+            and kind == {"type": "Split", "behavior": "Removed", "invert": True}
+            and later == [("ByteLevel", False, False)]
+            and spec["model"].get("end_of_word_suffix") == cls.WORD_END
+            and spec["post_processor"] is None
+        )
+        return steps[0]["pattern"].get("Regex") if by_words else None
 
     @classmethod
     def of_worker(cls, path: str) -> WordTokenizer:
-        kept = kept_by_worker()
+        kept = kept_by_worker("packing")
         return kept.get(("tokenizer", path)) or kept.setdefault(("tokenizer", path), cls(path))
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
@@ -93,14 +120,10 @@ class WordTokenizer:
             for n in self._ids([" ".join(some)])[0]:
                 ids.append(n)
                 if self._ends[n]:
-                    self._words[some[at]] = struct.pack(f"<{len(ids)}I", *ids)
+                    self._words.now[some[at]] = struct.pack(f"<{len(ids)}I", *ids)
                     at, ids = at + 1, []
 
     def _learn(self, parts: set[bytes]) -> None:
-        if len(self._parts) + len(parts) > KEPT_PARTS:
-            self._parts.clear()
-        if len(self._words) > KEPT_WORDS:
-            self._words.clear()
         plain, other = {}, []
         for part in parts:
             text = part.decode()
@@ -108,25 +131,28 @@ class WordTokenizer:
                 plain[part] = self._split(text.lower())
             else:
                 other.append((part, text))
-        known = self._words
-        self._learn_words(list({word for words in plain.values() for word in words if word not in known}))
-        for part, words in plain.items():
-            self._parts[part] = b"".join([known[word] for word in words])
+        words = {word for split in plain.values() for word in split}
+        self._learn_words(list(self._words.missing(words)))
+        known, made = self._words.now, self._parts.now
+        for part, split in plain.items():
+            made[part] = b"".join([known[word] for word in split])
         for (part, _), ids in zip(other, self._ids([text for _, text in other])):
-            self._parts[part] = struct.pack(f"<{len(ids)}I", *ids)
+            made[part] = struct.pack(f"<{len(ids)}I", *ids)
+        self._words.forget_long(words)
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+        if not self._by_words:
+            return (struct.pack(f"<{len(ids)}I", *ids) for ids in self._ids([text or "" for text in texts]))
         split = [(text or "").encode().split() for text in texts]
-        new = set().union(*split).difference(self._parts)
+        every = set().union(*split)
+        new = self._parts.missing(every)
         if new:
-            known = len(self._parts)
             with no_cycle_search():
                 self._learn(new)
-                if len(self._parts) < known:  # old ones were let go
-                    self._learn(set().union(*split).difference(self._parts))
-        parts = self._parts
-        for words in split:
-            yield b"".join([parts[w] for w in words])
+        parts = self._parts.now
+        encoded = [b"".join([parts[w] for w in words]) for words in split]
+        self._parts.forget_long(every)
+        return iter(encoded)
 
 
 @dataclass(order=True, slots=True)
@@ -270,9 +296,9 @@ def _packed(path: str, tiers: tuple[int, ...], pool_tokens: int, group_tokens: i
         end = END_ID.to_bytes(ID_BYTES, "little")
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for start in range(0, len(ids), TEXTS_AT_ONCE):
-                some = tokenizer.encode(texts.slice(start, TEXTS_AT_ONCE).to_pylist())
-                for doc_id, encoded in zip(ids[start : start + TEXTS_AT_ONCE], some):
+            for start, count in slices(texts, SLICE_BYTES):
+                some = tokenizer.encode(texts.slice(start, count).to_pylist())
+                for doc_id, encoded in zip(ids[start : start + count], some):
                     packer.add((doc_id, len(encoded) // ID_BYTES + 1), encoded + end)
                     if packer.held > pool_tokens or len(packer.finished) > 4096:
                         yield emitted(False)

@@ -41,6 +41,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridtide.llm.common import slices
+
 SHORTEST = 12
 FIRST_SCALE = 8
 SLICE_BYTES = 4 << 20
@@ -275,19 +277,6 @@ def find_in_texts(texts: list[bytes | None], shortest: int = SHORTEST) -> tuple[
     return sizes, runs, kept
 
 
-def _sliced(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """(start, count) of the slices of a batch: bounded bytes, one text at least."""
-    sizes = np.array([len(buffer) if (buffer := x.as_buffer()) is not None else 0 for x in texts])
-    start, held = 0, 0
-    for n, size in enumerate(sizes.tolist()):
-        if n > start and held + size > SLICE_BYTES:
-            yield start, n - start
-            start, held = n, 0
-        held += size
-    if len(sizes) > start:
-        yield start, len(sizes) - start
-
-
 def find_runs(docs: DataFrame, keep: list[str], shortest: int = SHORTEST) -> DataFrame:
     """The kept columns, n_words, runs (by start, then period) and collapsed text of every row.
 
@@ -301,7 +290,7 @@ def find_runs(docs: DataFrame, keep: list[str], shortest: int = SHORTEST) -> Dat
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, count in _sliced(batch.column(len(keep))):
+            for start, count in slices(batch.column(len(keep)), SLICE_BYTES):
                 some = batch.slice(start, count)
                 n_words, runs, kept = find_in_texts(some.column(len(keep)).to_pylist(), shortest)
                 offsets = np.cumsum([0] + [len(own) for own in runs])

@@ -37,6 +37,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridtide.llm.common import kept_by_worker
+
 SAMPLE_ROWS = 8_000
 FEATURE_BITS = 20
 MIN_DOCUMENTS = 5  # a feature of fewer sampled documents has no weight
@@ -52,7 +54,8 @@ SCALE_POWER = 2.0
 ENDING = 3
 KINDS = 3
 MARKS = string.punctuation.encode()
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
+LONGEST_CACHED = 64  # bytes of a word
 
 _SHAPES = bytes(
     ord("A") if 65 <= n <= 90 else ord("a") if 97 <= n <= 122 or n >= 128 else ord("0")
@@ -79,13 +82,19 @@ class TextFeatures:
         parts = (b"w" + word.lower().strip(MARKS), b"e" + word[-ENDING:], b"s" + shape(word))
         return tuple(zlib.crc32(part) & self._mask for part in parts)
 
+    def _learned(self, word: bytes) -> tuple[int, int, int]:
+        made = self._of_word(word)
+        if len(word) <= LONGEST_CACHED:
+            self._known[word] = made
+        return made
+
     def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Feature numbers and values of a text."""
         known = self._known
         if len(known) > CACHED_WORDS:
             known.clear()
         words = set((text or "").encode().split())
-        found = [known.get(w) or known.setdefault(w, self._of_word(w)) for w in words]
+        found = [known.get(w) or self._learned(w) for w in words]
         numbers, values = [], []
         for kind in range(KINDS):
             distinct = np.fromiter({f[kind] for f in found}, np.int32)
@@ -278,6 +287,7 @@ SCORES = "expected_grade double, tail_probability double, kept boolean"
 
 def _scored(model: Broadcast, grade: int, limit: float, keep_text: bool):
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_by_worker("classifier")  # lets go what other stages have kept
         features, fitted = TextFeatures(), OrdinalModel(*model.value)
         for batch in batches:
             scores = np.zeros(batch.num_rows)

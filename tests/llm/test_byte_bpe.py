@@ -30,6 +30,30 @@ def pair(request):
     return bpe.CorpusEncoder(request.param, public_tokenizers.PATTERN), known
 
 
+def test_indented_texts_are_encoded_but_not_kept(monkeypatch):
+    """A text with indentation is one part: whole texts must not stay in the worker."""
+    monkeypatch.setattr(bpe, "KEPT_PARTS", 200)
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 200)
+    ranks = bpe.read_ranks(RANKS)
+    known = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encoder = bpe.CorpusEncoder(RANKS, public_tokenizers.PATTERN)
+    for turn in range(12):
+        texts = ["\n".join(f"    x{turn}{n} = {k} *  y{n * k}" for n in range(80)) for k in range(10)]
+        texts += [f"{turn} plain words {k} " + "z" * 100 for k in range(40)]
+        for text, (ids, _) in zip(texts, encoder.encode(texts)):
+            assert ids.tolist() == known.encode_ordinary(text)
+        parts = {**encoder._parts.now, **encoder._parts._before}
+        assert sum(len(k.encode()) + len(a) + len(b) for k, (a, b) in parts.items()) < 100_000
+        words = {**encoder._words.now, **encoder._words._before}
+        assert all(len(word) <= bpe.LONGEST_KEPT for word in [*parts, *words]) and len(words) < 6000
+
+
+def test_long_words_merge_by_merge(pair):
+    encoder, known = pair
+    for word in ("ab" * 4000, "the" * 3000, "aaaaaaa" * 1000, "é😀x" * 900):
+        assert encoder.replay.encode_word(word.encode()) == known.encode_ordinary(word)
+
+
 def test_equals_the_library(pair):
     encoder, known = pair
     for text, (ids, spelled) in zip(TEXTS, encoder.encode(TEXTS)):

@@ -37,6 +37,27 @@ TEXTS = [
 ]
 
 
+def test_other_tokenizer_files_take_the_library():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, own = Tokenizer.from_file(path), WordTokenizer(path)
+    assert WordTokenizer.word_pattern(library.to_str()) is None
+    for text, data in zip(TEXTS, own.encode(TEXTS)):
+        assert ids_of(data) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_what_is_kept_is_bounded(known, monkeypatch):
+    monkeypatch.setattr(packing, "KEPT_PARTS", 300)
+    monkeypatch.setattr(packing, "KEPT_WORDS", 200)
+    own, rng = WordTokenizer(PATH), random.Random(9)
+    for turn in range(40):
+        texts = [" ".join(f"w{rng.randrange(10**5)} {'y' * 90}{n}" for n in range(20)) for _ in range(5)]
+        for text, data in zip(texts, own.encode(texts)):
+            assert ids_of(data) == known.encode(text, add_special_tokens=False).ids
+        for kept, limit in ((own._parts, 300), (own._words, 200)):
+            held = {**kept.now, **kept._before}
+            assert len(held) <= 2 * (limit + 400) and all(len(key) <= packing.LONGEST_KEPT for key in held)
+
+
 def test_ids_equal_the_library(known, own):
     for text, data in zip(TEXTS, own.encode(TEXTS)):
         assert ids_of(data) == known.encode(text, add_special_tokens=False).ids
