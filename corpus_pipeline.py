@@ -45,16 +45,23 @@ def quality_select(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that of the smallest id.
 
-    Rows that repeat an id are one document if they belong to the same group.
-    Rows without an id stay, as no id names the one to be kept.
+    Of a group's texts under that id the one of the smallest key stays, rows
+    that repeat it are one document.  Rows that share an id but belong to other
+    groups are other documents.  Rows without an id stay, as no id names the one
+    to be kept.
     """
-    found = jaccard_join.near_duplicates(docs, percent=NEAR_PERCENT, size=SHINGLE_WORDS)
-    first = found.where("doc_id = component_id").groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("rows")
+    found = jaccard_join.groups(docs, percent=NEAR_PERCENT, size=SHINGLE_WORDS)
+    first = found.where("doc_id = component_id")
+    texts = first.groupBy("component", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("rows"))
+    # An empty set is no group: every text of that kind stands for itself.
+    alone = F.when(F.col("component").isNull(), F.struct("doc_id", "text_key"))
+    chosen = texts.groupBy("component", alone.alias("alone")).agg(
+        F.min(F.struct("doc_id", "text_key", "rows")).alias("kept")
     )
-    kept = docs.join(stored(first, "pipeline-first"), "doc_id")
+    keyed = docs.withColumn("text_key", F.xxhash64(F.col("text").cast("string")))
+    kept = keyed.join(stored(chosen.select("kept.*"), "pipeline-first"), ["doc_id", "text_key"])
     once = kept.where("rows = 1").select(*COLUMNS)
-    repeated = kept.where("rows > 1").select(*COLUMNS).dropDuplicates(["doc_id"])
+    repeated = kept.where("rows > 1").dropDuplicates(["doc_id", "text_key"]).select(*COLUMNS)
     return once.union(repeated).union(docs.where("doc_id IS NULL").select(*COLUMNS))
 
 
