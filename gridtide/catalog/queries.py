@@ -400,9 +400,7 @@ def write_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return storage.count_by(storage.read_table(spark, path, MARKET_CLEAN), "dataset")
 
 
-@registered("series_manifest")
-def series_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Expected series of every area against the readings received."""
+def _expected_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = inputs.areas(spark, sf_dir)
     explicit = F.array(F.lit("actual_total_load"), F.lit("day_ahead_energy_prices"), F.lit("other"))
     use_for = F.when(F.col("n_regionkey") == 0, explicit).otherwise(F.array(F.lit(EVERY_DATASET)))
@@ -411,10 +409,35 @@ def series_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_name").alias("area_name"),
         use_for.alias("use_for"),
     )
-    expected = expected_series.expected_series(areas)
+    return expected_series.expected_series(areas)
+
+
+@registered("series_manifest")
+def series_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected series of every area against the readings received."""
+    expected = _expected_series(spark, sf_dir)
     return expected_series.series_status(expected, inputs.clean_readings(spark, sf_dir))
 
 
+_YEAR = (date(2024, 1, 1), date(2024, 12, 31))
+
+
+@registered("interval_gaps")
+def interval_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing hours of every expected series over a year."""
+    expected = _expected_series(spark, sf_dir)
+    return expected_series.interval_gaps(expected, inputs.clean_readings(spark, sf_dir), *_YEAR)
+
+
+@registered("series_completeness")
+def series_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarter hours expected, received and missing per series over a year."""
+    expected = _expected_series(spark, sf_dir)
+    received = inputs.clean_readings(spark, sf_dir)
+    gaps = expected_series.interval_gaps(expected, received, *_YEAR, minutes=15)
+    return expected_series.completeness(expected, gaps, *_YEAR, minutes=15)
+
+
 @registered("backfill_range")
 def backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and measure totals per rebuilt table and day."""

@@ -147,6 +147,38 @@ def test_expected_series(spark):
     assert status.where("rows_received = 0").count() == len(MARKET_DATASETS)
 
 
+def test_interval_gaps_against_brute_force(spark):
+    start = dt.datetime(2026, 2, 27)
+    expected = [("A", "x"), ("A", "y"), ("B", "x"), ("C", "x"), ("A", "x")]
+    minutes = {
+        ("A", "x"): [0, 59, 60, 61, 300, 5 * 1440 - 1],
+        ("B", "x"): [m for m in range(0, 5 * 1440, 7)],
+        ("C", "x"): [-1, -30, 5 * 1440, 90],
+        ("D", "x"): [0],
+    }
+    rows = [(a, d, start + dt.timedelta(minutes=m)) for (a, d), own in minutes.items() for m in own * 2]
+    rows.append(("A", "y", None))
+    received = spark.createDataFrame(rows, "area_code string, dataset string, timestamp_utc timestamp_ntz")
+    series = spark.createDataFrame(expected, "area_code string, dataset string")
+    span = (start.date(), dt.date(2026, 3, 3))
+    for size in (60, 15):
+        want = set()
+        for key in set(expected):
+            there = {m // size for m in minutes.get(key, [])}
+            missing = [n for n in range(5 * 1440 // size) if n not in there]
+            heads = [n for n in missing if n - 1 not in missing]
+            for head in heads:
+                end = next(n for n in range(head, 5 * 1440 // size + 1) if n not in missing)
+                want.add((*key, *[start + dt.timedelta(minutes=size * n) for n in (head, end)], end - head))
+        gaps = expected_series.interval_gaps(series, received, *span, minutes=size)
+        assert {tuple(r) for r in gaps.collect()} == want
+        rows = expected_series.completeness(series, gaps, *span, minutes=size).collect()
+        assert {(r.area_code, r.dataset) for r in rows} == set(expected)
+        for r in rows:
+            own = [g[4] for g in want if g[:2] == (r.area_code, r.dataset)]
+            assert (r.n_expected - r.n_received, r.n_gaps, r.longest_gap) == (sum(own), len(own), max(own, default=0))
+
+
 def land(spark, path, *changes, records=market_records):
     json_lines.write_lines(records(spark, *changes), path)
 
