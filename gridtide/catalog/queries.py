@@ -66,6 +66,7 @@ from gridtide.schemas import (
 )
 from gridtide.sources import batches, documents, expected_series, json_lines
 from gridtide.sources import tables as storage
+from gridtide.sources.generations import Generation, append_generation, names_in, read_generations
 from gridtide.streaming import counts, ingest, quarantine
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -393,6 +394,28 @@ def schema_evolution_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return storage.read_table(spark, path, FACT_LOAD)
 
 
+LOAD_GENERATIONS = (
+    Generation(1),
+    Generation(2, {"power_mw": "value", "measure": "unit"}),
+    Generation(3, {"quantity_mw": "power_mw", "unit": "measure", "source": "origin"}),
+)
+
+
+@registered("schema_generations_read")
+def schema_generations_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load written under three sets of names, a third of the year each, read as one table."""
+    path = storage.shared_folder(spark, "generations")
+    load = inputs.fact_load(spark, sf_dir)
+    third = F.ceil(F.month("event_date") / 4)
+    for generation in LOAD_GENERATIONS:
+        part = load.where(third == generation.version)
+        old = names_in(generation.version, LOAD_GENERATIONS, load.columns)
+        if generation.version == 1:  # numbers were texts then
+            part = part.withColumn("quantity_mw", F.col("quantity_mw").cast("string"))
+        append_generation(part.withColumnsRenamed(old), path, generation.version, ["event_date"])
+    return read_generations(spark, path, FACT_LOAD, LOAD_GENERATIONS)
+
+
 @registered("write_counts")
 def write_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per dataset that a write has added to the table."""

@@ -50,7 +50,8 @@ def days_between(spark: SparkSession, first: date, last: date) -> DataFrame:
     return spark.range(count).select(day).where(F.col(DAY).between(F.lit(first), F.lit(last)))
 
 
-def _on_days(table: DataFrame, days: Iterable[str] | DataFrame) -> DataFrame:
+def on_days(table: DataFrame, days: Iterable[str] | DataFrame) -> DataFrame:
+    """The rows of some days; the partitions of the others are not read."""
     if isinstance(days, DataFrame):
         kind = table.schema[DAY].dataType
         wanted = days.select(F.col(days.columns[0]).cast(kind).alias(DAY))
@@ -77,7 +78,7 @@ def read_table(
     if datasets is not None:
         table = table.where(F.col("dataset").isin(list(datasets)))
     if days is not None:
-        table = _on_days(table, days)
+        table = on_days(table, days)
     return table.select(*schema.names)
 
 

@@ -25,6 +25,7 @@ BATCH = sorted(
         "create_if_absent",
         "idempotent_overwrite",
         "schema_evolution_read",
+        "schema_generations_read",
         "write_counts",
         "ingest_counts",
         "quarantine_retaken",

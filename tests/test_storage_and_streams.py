@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridtide.operators.clean import clean_market
 from gridtide.plans import rebuild
@@ -11,6 +12,7 @@ from gridtide.reference_data import EVERY_DATASET, MARKET_DATASETS
 from gridtide.schemas import FACT_LOAD, MARKET_CLEAN, MARKET_RECORD, WEATHER_RECORD, conform
 from gridtide.sources import expected_series, json_lines
 from gridtide.sources import tables as storage
+from gridtide.sources.generations import Generation, append_generation, names_in, read_generations
 from gridtide.streaming import ingest, quarantine
 from test_cleaning import market_records, weather_records
 
@@ -61,6 +63,39 @@ def test_scan_prunes_partitions(spark, tmp_path):
     assert storage.read_table(spark, path, MARKET_CLEAN, ["1999-01-01"]).count() == 0
 
 
+def test_three_generations_of_files_are_one_frame(spark, tmp_path):
+    """Names renamed twice, swapped and taken up anew, a changed type, a dropped and a new column."""
+    path = str(tmp_path / "t")
+    steps = [
+        Generation(1),
+        Generation(2, {"b": "a", "a": "b", "third": "second"}),
+        Generation(3, {"value": "third", "second": "b"}),
+        Generation(4, {"never": "written"}),
+    ]
+    frames = {
+        1: ("event_date date, a string, b string, second string, gone int", ("A1", "B1", "1.5", 7)),
+        2: ("event_date date, a string, b string, third double", ("B2", "A2", 2.5)),
+        3: ("event_date date, a string, second string, value int, fresh string", ("B3", "A3", 3, "f")),
+    }
+    for version, (schema, values) in frames.items():
+        rows = [(dt.date(2026, 4, day), *values) for day in (1, version + 1)]
+        append_generation(spark.createDataFrame(rows, schema), path, version, ["event_date"])
+    want = T.StructType.fromDDL("event_date date, a string, second string, value double, fresh string")
+    assert names_in(1, steps, want.names) == {
+        "event_date": "event_date", "a": "b", "second": "a", "value": "second", "fresh": "fresh"
+    }
+    whole = read_generations(spark, path, want, steps)
+    assert whole.schema.simpleString() == want.simpleString()
+    got = sorted((r.event_date.day, r.a, r.second, r.value, r.fresh or "") for r in whole.collect())
+    one_day = [(1, "B1", "A1", 1.5, ""), (1, "B2", "A2", 2.5, ""), (1, "B3", "A3", 3.0, "f")]
+    assert got == one_day + [(2, *one_day[0][1:]), (3, *one_day[1][1:]), (4, *one_day[2][1:])]
+    third = read_generations(spark, path, want, steps, ["2026-04-03"])
+    assert [(r.event_date.day, r.a) for r in third.collect()] == [(3, "B2")]
+    span = storage.days_between(spark, dt.date(2026, 4, 2), dt.date(2026, 4, 3))
+    assert read_generations(spark, path, want, steps, span).count() == 2
+    assert read_generations(spark, str(tmp_path / "none"), want, steps).count() == 0
+
+
 def test_append_leaves_out_rows_without_day(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = load(spark, 1, 1.0).unionByName(
