@@ -476,3 +476,35 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?>\n'), text).alias("xml"),
     )
+
+
+def write_large_documents(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """A document per nation below ``area_code=``, with a series for each of its line items.
+
+    A file is written line by line: head, series, tail; no task holds it whole.
+    """
+    rows = _numbered(generation_readings(spark, sf_dir)).where("l_tax > 0.03D")
+    rows = rows.join(areas(spark, sf_dir).select("s_suppkey", "n_nationkey"), F.expr("area_code = s_suppkey"))
+    points = F.transform(
+        F.sequence(F.lit(1), F.col("l_linenumber")),
+        lambda n: F.concat(
+            F.lit("<Point><position>"), n.cast("string"), F.lit("</position><quantity>"),
+            (F.col("quantity_mw") + n).cast("string"), F.lit("</quantity></Point>"),
+        ),
+    )
+    minute = F.concat(F.substring(iso_text("timestamp_utc"), 1, 16), F.lit("Z"))
+    series = F.concat(
+        F.lit("<TimeSeries><mRID>"), F.col("line_id"), F.lit("</mRID><MktPSRType><psrType>"), F.col("psr_type"),
+        F.lit("</psrType></MktPSRType><Period><timeInterval><start>"), minute,
+        F.lit("</start></timeInterval><resolution>"), F.col("resolution"), F.lit("</resolution>"),
+        F.array_join(points, ""), F.lit("</Period></TimeSeries>"),
+    )
+    nation = F.col("n_nationkey").cast("string").alias("area_code")
+    body = rows.select(nation, F.lit(1).alias("place"), series.alias("value"))
+    nations = body.select("area_code").distinct()
+    head = F.concat(F.lit("<GL_MarketDocument><mRID>d"), F.col("area_code"), F.lit("</mRID>"))
+    ends = nations.select("area_code", F.lit(0).alias("place"), head.alias("value")).union(
+        nations.select("area_code", F.lit(2), F.lit("</GL_MarketDocument>"))
+    )
+    laid_out = body.union(ends).repartition("area_code").sortWithinPartitions("area_code", "place")
+    laid_out.drop("place").write.partitionBy("area_code").text(path)

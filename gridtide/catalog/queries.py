@@ -180,6 +180,26 @@ def xml_flatten_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered("xml_large_documents")
+def xml_large_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of documents with thousands of series, which are read in pieces."""
+    path = storage.shared_folder(spark, "large-documents")
+    inputs.write_large_documents(spark, sf_dir, path)
+    pieces = documents.read_pieces(spark, path, "*.txt", ["area_code"])
+    return documents.records_from_pieces(pieces).select(
+        "status",
+        "area_code",
+        "document_mrid",
+        "timeseries_mrid",
+        "timestamp_utc",
+        "psr_type",
+        "technology",
+        "resolution",
+        "position",
+        "quantity_mw",
+    )
+
+
 @registered("xml_empty_document_status")
 def xml_empty_document_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_status(spark, sf_dir, "ok_but_empty_points").select(

@@ -26,6 +26,7 @@ BATCH = sorted(
         "idempotent_overwrite",
         "schema_evolution_read",
         "schema_generations_read",
+        "xml_large_documents",
         "write_counts",
         "ingest_counts",
         "quarantine_retaken",
