@@ -7,8 +7,8 @@ writes its records one behind the other into one archive in the shared folder.
 Reading: each archive is read sequentially.  Members are inflated piece by
 piece, the header block is framed by its blank line and the content by its
 Content-Length, and block and payload digests are verified.  A record that
-fails a check is returned with its ``problem``; behind a damaged member the
-rest of the archive cannot be framed and is reported as one such row.
+fails a check is returned with its ``problem``.  A damaged member is one such
+row; reading goes on at the next member that begins with a record.
 
 Null payloads count as empty, null ids are lowest and stay null, null URLs have
 no target header.  Rows that repeat id and payload are records of their own;
@@ -19,6 +19,7 @@ gives an archive without records.  Other columns of the input are ignored.
 from __future__ import annotations
 
 import base64
+import contextlib
 import hashlib
 import io
 import urllib.parse
@@ -36,6 +37,9 @@ RECORD_URN = "urn:page:"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BLANK_LINE = b"\r\n\r\n"
 CHUNK = 1 << 16
+MAGIC = b"\x1f\x8b\x08"
+RECORD_START = b"WARC/"
+LEAST_MEMBER = 1 << 10  # enough of a member to see how it begins
 
 READ_SCHEMA = (
     "record_id long, record_type string, target_uri string, refers_to long,"
@@ -131,26 +135,57 @@ def write_archives(
 # --- reading -------------------------------------------------------------------
 
 
+def _next_member(data: bytes, source: BinaryIO) -> bytes:
+    """What is left from the next place on where a member with a record begins; empty if there is none."""
+    at = 0
+    while True:
+        at = data.find(MAGIC, at)
+        if at < 0:
+            data, at = data[-len(MAGIC) + 1 :], 0
+            if not (more := source.read(CHUNK)):
+                return b""
+            data += more
+            continue
+        begins = b""
+        with contextlib.suppress(zlib.error):
+            begins = zlib.decompressobj(31).decompress(data[at : at + CHUNK], len(RECORD_START))
+        if begins == RECORD_START:
+            return data[at:]
+        if len(data) - at < LEAST_MEMBER and (more := source.read(CHUNK)):
+            data = data[at:] + more
+            at = 0
+            continue
+        at += 1
+
+
 def read_members(source: BinaryIO) -> Iterator[bytes | str]:
-    """Each member inflated, piece by piece; a text instead of bytes says what is wrong."""
+    """Each member inflated, piece by piece; a text instead of bytes says what is wrong.
+
+    Behind a damaged member the next one that holds a record is looked for, from
+    the byte behind the start of the damaged one on: it may have run on into it.
+    """
     data = b""
     while True:
         while not (data := data.lstrip(b"\0")):  # padding between members
             data = source.read(CHUNK)
             if not data:
                 return
-        inflate, parts = zlib.decompressobj(31), []
+        inflate, parts, raw, problem = zlib.decompressobj(31), [], [], None
         try:
             while not inflate.eof:
+                raw.append(data)
                 parts.append(inflate.decompress(data))
                 data = inflate.unused_data
                 if not inflate.eof and not (data := source.read(CHUNK)):
-                    yield "truncated member"
-                    return
+                    problem = "truncated member"
+                    break
         except zlib.error:
-            yield "damaged member"
-            return
-        yield b"".join(parts)
+            problem = "damaged member"
+        if problem is None:
+            yield b"".join(parts)
+        else:
+            yield problem
+            data = _next_member(b"".join(raw)[1:], source)
 
 
 def _number(urn: str | None) -> int | None:

@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import io
+import random
 from pathlib import Path
 
 from gridtide.llm import warc
@@ -106,3 +107,30 @@ def test_members_of_16_mib_and_more_are_followed_by_padding():
     large = warc.member(warc.record(7, "http://a", bytes(17 << 20), None, "2024-01-01T00:00:00Z"))
     assert large[-1] != 0
     assert problems(large + b"\0" + large) == [None, None]
+
+
+def test_records_behind_a_damaged_member_are_found():
+    """Every byte of the second of five members is damaged in turn, and stretches of it are cut out."""
+    whole = [warc.record(n, "http://a", bytes(f"payload {n} " * (n % 3 * 9 + 1), "ascii"), None, "d") for n in range(5)]
+    members = [warc.member(data) for data in whole]
+    second = members[1]
+    for at in range(len(second)):
+        damaged = second[:at] + bytes([second[at] ^ 0x55]) + second[at + 1 :]
+        got = list(warc.read_members(io.BytesIO(members[0] + damaged + b"".join(members[2:]))))
+        assert got[0] == whole[0] and got[-3:] == whole[2:], at
+        assert [x for x in got[1:-3] if not isinstance(x, str)] in ([], [whole[1]]), at
+    for start, end in ((0, 1), (0, 20), (5, 60), (30, len(second)), (len(second) - 9, len(second))):
+        cut = second[:start] + second[end:]
+        got = list(warc.read_members(io.BytesIO(members[0] + cut + b"".join(members[2:]))))
+        assert got[0] == whole[0] and got[-3:] == whole[2:] and len(got) == 5, (start, end)
+
+
+def test_damage_in_long_archives_and_false_starts(monkeypatch):
+    monkeypatch.setattr(warc, "CHUNK", 97)
+    whole = [warc.record(n, "http://a", random.Random(n).randbytes(3000), None, "d") for n in range(12)]
+    members = [warc.member(data) for data in whole]
+    members[4] = members[4][:700] + b"\x1f\x8b\x08\0" + members[4][704:]
+    members[8] = b"\x1f\x8b\x08" * 50
+    got = list(warc.read_members(io.BytesIO(b"".join(members))))
+    assert [x for x in got if not isinstance(x, str)] == [d for n, d in enumerate(whole) if n not in (4, 8)]
+    assert len(problems(members[8])) == 1
