@@ -7,7 +7,7 @@ links; tests/llm compares them with brute-force versions.
 SQL: dict[str, str] = {}
 
 SQL["op1_topk_search"] = """
-WITH codes AS (SELECT vec_id, list_transform(embedding[1:64], lambda x: x > 0) AS bits FROM embeddings),
+WITH codes AS (SELECT vec_id, list_transform(embedding, lambda x: x > 0) AS bits FROM embeddings),
   pairs AS (SELECT q.vec_id AS query_id, c.vec_id AS id,
       len(list_filter(list_zip(q.bits, c.bits), lambda p: p[1] <> p[2])) AS distance
     FROM codes q JOIN codes c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)

@@ -39,9 +39,11 @@ GRAPH_QUERY_STEP = 100
 
 
 def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    code = topk_search.sign_code(F.col("embedding"))
-    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), code.alias("code"))
-    return topk_search.search(rows, rows.where(F.col("id") % QUERY_STEP == 0), TOP_K)
+    embeddings = table(spark, sf_dir, "embeddings")
+    bits = topk_search.dimensions(embeddings, "embedding")
+    code = topk_search.sign_words(F.col("embedding"), -(-bits // topk_search.BITS))
+    rows = embeddings.select(F.col("vec_id").alias("id"), code.alias("code"))
+    return topk_search.search(rows, rows.where(F.col("id") % QUERY_STEP == 0), TOP_K, bits)
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Exact top-k search in binary codes by incremental multi-index hashing.
 
-A code of up to 64 bits is cut into segments of about log2(n) bits, each with a
-hash table from segment value to codes.  A query first probes its own segment
+A code of any number of bits, in words of 64, is cut into segments of about log2(n)
+bits, each with a hash table from segment value to codes.  A query first probes its own segment
 values, then all values at distance 1, 2, ... of each segment in turn.  After
 radius r in the first j + 1 of m segments (r - 1 in the others), every code
 within a Hamming distance of m r + j has been met: were all its segments farther
@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridtide.llm.common import stored
 
@@ -37,15 +38,29 @@ DATA_BLOCK = 1 << 16
 QUERY_BLOCK = 1 << 11
 
 
-def sign_code(embedding: Column) -> Column:
-    """A bit per dimension, 1 where it is positive; the first 64 dimensions, first one lowest."""
-    bits = F.transform(
-        F.slice(embedding, 1, BITS),
-        lambda x, n: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), n)).otherwise(
-            F.lit(0).cast("long")
-        ),
-    )
-    return F.aggregate(bits, F.lit(0).cast("long"), lambda all_bits, bit: all_bits.bitwiseOR(bit))
+def sign_words(embedding: Column, words: int = 1) -> Column:
+    """A bit per dimension, 1 where it is positive, in so many words of 64; the first one lowest.
+
+    Dimensions an embedding lacks are 0; one with more dimensions than bits is an error.
+    """
+
+    def word(number: int) -> Column:
+        bits = F.transform(
+            F.slice(embedding, number * BITS + 1, BITS),
+            lambda x, n: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), n)).otherwise(
+                F.lit(0).cast("long")
+            ),
+        )
+        return F.aggregate(bits, F.lit(0).cast("long"), lambda all_bits, bit: all_bits.bitwiseOR(bit))
+
+    too_long = F.raise_error(F.lit(f"an embedding has more than {words * BITS} dimensions"))
+    code = F.when(embedding.isNotNull(), F.array(*[word(n) for n in range(words)]))
+    return F.when(F.size(embedding) > words * BITS, too_long.cast("array<long>")).otherwise(code)
+
+
+def dimensions(embeddings: DataFrame, name: str) -> int:
+    """The length of the longest embedding, 1 at least."""
+    return max(embeddings.agg(F.max(F.size(name)).alias("n")).first().n or 1, 1)
 
 
 def segments_of(n_codes: int, bits: int = BITS) -> list[tuple[int, int]]:
@@ -60,7 +75,8 @@ class MultiIndex:
     """Hash tables over the segments of codes; ``nearest`` searches them exactly."""
 
     def __init__(self, codes: np.ndarray, ids: np.ndarray, bits: int = BITS) -> None:
-        self.codes, self.ids, self.bits = codes.astype(np.uint64), ids, bits
+        codes = codes.astype(np.uint64)
+        self.codes, self.ids, self.bits = codes.reshape(len(codes), -1), ids, bits
         self.segments = segments_of(len(codes), bits)
         self._tables = []
         for shift, width in self.segments:
@@ -72,7 +88,12 @@ class MultiIndex:
 
     @staticmethod
     def _segment(codes: np.ndarray, shift: int, width: int) -> np.ndarray:
-        return ((codes >> np.uint64(shift)) & np.uint64((1 << width) - 1)).astype(np.int64)
+        """The values of a segment of each row; it may reach into the next word."""
+        word, at = divmod(shift, BITS)
+        values = codes[:, word] >> np.uint64(at)
+        if at + width > BITS:
+            values = values | (codes[:, word + 1] << np.uint64(BITS - at))
+        return (values & np.uint64((1 << width) - 1)).astype(np.int64)
 
     def _flips(self, width: int, radius: int) -> np.ndarray:
         """All ways to flip ``radius`` bits of a segment."""
@@ -82,9 +103,9 @@ class MultiIndex:
             self._masks[key] = np.array(made, np.int64)
         return self._masks[key]
 
-    def nearest(self, query: int, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+    def nearest(self, query: int | np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
         """Places and distances of the k codes of lowest (distance, id); the radius covered."""
-        query = np.uint64(query)
+        query = np.asarray(query, np.uint64).reshape(1, -1)
         met = np.zeros(len(self.codes), bool)
         places, distances = np.empty(0, np.int64), np.empty(0, np.int64)
         covered = -1
@@ -104,7 +125,7 @@ class MultiIndex:
                     new = new[~met[new]]
                     met[new] = True
                     places = np.concatenate([places, new])
-                    far = np.bitwise_count(self.codes[new] ^ query).astype(np.int64)
+                    far = np.bitwise_count(self.codes[new] ^ query).sum(1, dtype=np.int64)
                     distances = np.concatenate([distances, far])
                 covered = len(self.segments) * radius + number
                 if len(places) >= k and np.partition(distances, k - 1)[k - 1] <= covered:
@@ -115,17 +136,22 @@ class MultiIndex:
 
 
 def _searched(k: int, bits: int):
+    def words_of(column: pa.ChunkedArray) -> np.ndarray:
+        column = column.combine_chunks()
+        return column.flatten().to_numpy().reshape(len(column), -1)
+
     def made(queries: pa.Table, data: pa.Table) -> pa.Table:
-        codes, ids = data["code"].to_numpy().view(np.uint64), data["least_id"].to_numpy()
         out: dict[str, list] = {"query_code": [], "code": [], "distance": []}
-        if len(codes):
-            index = MultiIndex(codes, ids, bits)
-            for query in queries["query_code"].to_numpy():
+        if data.num_rows and queries.num_rows:
+            codes = words_of(data["code"])
+            index = MultiIndex(codes.view(np.uint64), data["least_id"].to_numpy(), bits)
+            for query in words_of(queries["query_code"]):
                 places, distances, _ = index.nearest(query.view(np.uint64), k)
-                out["query_code"] += [int(query)] * len(places)
-                out["code"] += codes[places].view(np.int64).tolist()
+                out["query_code"] += [query.tolist()] * len(places)
+                out["code"] += codes[places].tolist()
                 out["distance"] += distances.tolist()
-        kinds = {"query_code": pa.int64(), "code": pa.int64(), "distance": pa.int32()}
+        words = pa.list_(pa.int64())
+        kinds = {"query_code": words, "code": words, "distance": pa.int32()}
         return pa.table({n: pa.array(v, kinds[n]) for n, v in out.items()})
 
     return made
@@ -138,10 +164,16 @@ def _blocks(rows: int, size: int) -> int:
 def search(rows: DataFrame, queries: DataFrame, k: int, bits: int = BITS) -> DataFrame:
     """The k nearest rows of each query: query_id, rank from 1, id, distance.
 
-    Both frames have ``id`` and ``code`` (a number whose lowest ``bits`` count).
+    Both frames have ``id`` and ``code``: an array of words of 64 bits, or one
+    such word.  The lowest ``bits`` of the code count.
     """
-    known = rows.select(F.col("id").cast("long"), F.col("code").cast("long"))
-    asked = queries.select(F.col("id").cast("long"), F.col("code").cast("long"))
+
+    def words(frame: DataFrame) -> DataFrame:
+        several = isinstance(frame.schema["code"].dataType, T.ArrayType)
+        one = F.when(F.col("code").isNotNull(), F.array(F.col("code").cast("long"))) if not several else F.col("code")
+        return frame.select(F.col("id").cast("long"), one.alias("code"))
+
+    known, asked = words(rows), words(queries)
     known, asked = (x.where("id IS NOT NULL AND code IS NOT NULL").distinct() for x in (known, asked))
 
     # Of equal codes only the k + 1 smallest ids can be among the k nearest without the query itself.
@@ -166,7 +198,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int, bits: int = BITS) -> Dat
     found = (
         left.groupBy("qb", "db")
         .cogroup(right.groupBy("qb", "db"))
-        .applyInArrow(_searched(wanted, bits), "query_code long, code long, distance int")
+        .applyInArrow(_searched(wanted, bits), "query_code array<long>, code array<long>, distance int")
     )
     # Codes in the order of their least ids, then the ids of the best codes.
     near = found.join(codes, "code")

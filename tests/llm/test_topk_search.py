@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridtide.llm import topk_search
-from gridtide.llm.topk_search import MultiIndex, search, segments_of, sign_code
+from gridtide.llm.topk_search import MultiIndex, search, segments_of, sign_words
 
 SCHEMA = "id long, code long"
 
@@ -66,7 +66,31 @@ def test_edge_cases(spark):
     assert found(spark, [], [1], 9) == {}
 
 
-def test_sign_code(spark):
+def test_sign_words(spark):
     rows = [([1.0, -1.0, 0.0, 2.0],), ([0.5] * 70,), (None,), ([],)]
     frame = spark.createDataFrame(rows, "e array<float>")
-    assert [r.c for r in frame.select(sign_code(F.col("e")).alias("c")).collect()] == [9, -1, None, 0]
+    assert [r.c for r in frame.select(sign_words(F.col("e"), 2).alias("c")).collect()] == [[9, 0], [-1, 63], None, [0, 0]]
+    assert topk_search.dimensions(frame, "e") == 70 and topk_search.dimensions(frame.limit(0), "e") == 1
+    short = frame.where("size(e) < 65 OR e IS NULL")
+    assert [r.c for r in short.select(sign_words(F.col("e")).alias("c")).collect()] == [[9], None, [0]]
+    with pytest.raises(Exception, match="more than 64 dimensions"):
+        frame.select(sign_words(F.col("e")).alias("c")).collect()
+
+
+@pytest.mark.parametrize("dimensions", [20, 100, 200])
+def test_embeddings_of_any_length_equal_brute_force(spark, dimensions):
+    """Every dimension counts; segments reach over the ends of words."""
+    rng = np.random.default_rng(dimensions)
+    data = rng.standard_normal((300, dimensions))
+    data[150:] = data[:150] * rng.choice([1, 1, 1, 1, -1], (150, dimensions))
+    rows = [(n, v.tolist()) for n, v in enumerate(data)]
+    frame = spark.createDataFrame(rows, "id long, e array<double>")
+    code = sign_words(F.col("e"), -(-dimensions // 64)).alias("code")
+    codes = frame.select("id", code)
+    got = search(codes, codes.where("id % 40 = 0"), 7, dimensions).collect()
+    signs = data > 0
+    for query in range(0, 300, 40):
+        far = (signs != signs[query]).sum(1)
+        want = sorted((int(far[n]), n) for n in range(300) if n != query)[:7]
+        mine = sorted((r["rank"], r.distance, r.id) for r in got if r.query_id == query)
+        assert [(d, n) for _, d, n in mine] == want
