@@ -53,7 +53,7 @@ def test_a_text_of_a_third_of_all_rows_is_divided(spark):
     texts = [words(rng, rng.randint(20, 100)) for _ in range(600)] + [hot] * 300
     rows = sharded(spark, texts)
     weights, places = check(rows, texts, 8)
-    assert max(weights) < 1.35 * min(weights)
+    assert max(weights) < 1.03 * min(weights)
     torn = [key for key, found in places.items() if len(found) > 1]
     assert torn == [(len(hot.encode()) + 1, zlib.crc32(hot.encode()))]
 
@@ -64,3 +64,62 @@ def test_only_equal_texts_one_row_no_row(spark):
         assert max(weights) < 2.5 * max(min(weights), 1)
     assert len(sharded(spark, ["one"])) == 1
     assert sharded(spark, []) == []
+
+
+def described(spark, rows):
+    schema = "doc_id long, text string, source string, lang string, n_chars long, size string"
+    return spark.createDataFrame([(*r, "x") for r in rows], schema).repartition(4)
+
+
+def test_splits_follow_the_widest_metadata_dimension(spark):
+    """Four sources of equal weight: two shards part them in the middle of their order."""
+    rng = random.Random(6)
+    rows = []
+    for n in range(800):
+        text = f"{n:04} " + "w" * 100
+        rows.append((n, text, "abcd"[n % 4] + "-site", "en", 105 + rng.randint(0, 1)))
+    rows += [(1000 + n, rows[0][1], "zz", "de", 999) for n in range(5)]  # a copy with other metadata
+    found = {r.doc_id: r.shard for r in shard_documents(described(spark, rows), 2, tolerance=0.02).collect()}
+    by_source = defaultdict(set)
+    for n, _, source, *_ in rows[:800]:
+        by_source[source].add(found[n])
+    assert by_source == {"a-site": {0}, "b-site": {0}, "c-site": {1}, "d-site": {1}}
+    assert {found[1000 + n] for n in range(5)} == {found[0]}
+
+
+def test_one_source_with_most_rows_is_divided_along_the_next_dimension(spark):
+    rows = [(n, f"{n:04} " + "w" * 50, "hot" if n % 10 else f"s{n}", "en", n) for n in range(1000)]
+    found = shard_documents(described(spark, rows), 4).collect()
+    weights = Counter()
+    for r in found:
+        weights[r.shard] += r["size"]
+    assert max(weights.values()) < 1.01 * min(weights.values())
+    hot = sorted((rows[r.doc_id][4], r.shard) for r in found if rows[r.doc_id][2] == "hot")
+    # Within the source, shards are ranges of the number of characters.
+    assert sum(a[1] != b[1] for a, b in zip(hot, hot[1:])) <= 4
+
+
+def test_a_thousand_leaves_of_target_bytes(spark):
+    rng = random.Random(8)
+    rows = [(n, f"{n} " + "x" * rng.randint(20, 200), rng.choice(["s", "t"]), "en", n % 77) for n in range(24_000)]
+    total = sum(len(r[1]) + 1 for r in rows)
+    found = shard_documents(described(spark, rows), target_bytes=-(-total // 1000)).collect()
+    weights = Counter()
+    for r in found:
+        weights[r.shard] += r["size"]
+    assert len(found) == 24_000 and sorted(weights) == list(range(1000))
+    assert max(weights.values()) < 1.5 * total / 1000
+
+
+def test_metadata_that_are_null_absent_or_no_numbers(spark):
+    rows = [(n, f"text {n}", None, None, None) for n in range(300)]
+    schema = "doc_id long, text string, source string, lang string, n_chars string"
+    for frame in (
+        described(spark, rows),
+        described(spark, rows).drop("source", "lang", "n_chars"),
+        spark.createDataFrame([(n, f"text {n}", "é" * (n % 3), "", "many" if n % 2 else "-5") for n in range(300)], schema),
+    ):
+        weights = Counter()
+        for r in shard_documents(frame, 3).collect():
+            weights[r.shard] += r["size"]
+        assert sorted(weights) == [0, 1, 2] and max(weights.values()) < 1.05 * min(weights.values())
