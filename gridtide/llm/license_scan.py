@@ -38,6 +38,7 @@ from gridtide.llm.common import ascii_lower
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 RARE_WORDS = 3  # a template is indexed under so many words, and one more for each twenty it has
 MOST_WORDS = 62  # a bit of a long for each
+BROADCAST_POSTINGS = 100_000
 FILE_WORDS = 24  # a file is looked up by so many of its rarest index words
 MIN_AGREEING = 2
 MIN_SCORE = 0.8
@@ -337,6 +338,9 @@ def template_labels(
     hits = files.select("*", F.posexplode("list").alias("place", "word"))
     hits = hits.where(F.array_contains("rare", F.col("word")))
     index = spark.createDataFrame(postings, "word string, template int, at int, length int, bit long")
+    table = _template_table(spark, templates)
+    if len(postings) <= BROADCAST_POSTINGS:  # beyond that, lists of words go to the postings by the word
+        index, table = F.broadcast(index), F.broadcast(table)
     start = F.col("place") - F.col("at")
     around = F.slice("list", F.greatest(start - MARGIN, F.lit(0)) + 1, F.col("length") + 2 * MARGIN)
     around = F.concat(F.lit(" "), F.array_join(around, " "), F.lit(" "))  # smaller than the array
@@ -349,7 +353,7 @@ def template_labels(
         .where(F.bit_count("agreeing") >= min_agreeing)
     )
     return (
-        agreed.join(_template_table(spark, templates), "template")
+        agreed.join(table, "template")
         .withColumn("score", F.size(F.array_intersect(F.split("around", " "), "wording")) / F.size("wording"))
         .where(F.col("score") >= min_score)
         .where(F.forall("phrases", lambda p: F.contains("around", F.concat(F.lit(" "), p, F.lit(" ")))))

@@ -166,6 +166,26 @@ def test_the_canonical_text_is_made_once_in_each_pass(spark):
     assert plan.count("regexp_replace") == 2
 
 
+def test_words_stay_where_they_are_while_the_index_is_small(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, TEMPLATES[0].text, "x", "y"), (2, "mit license", "x", "y")], SCHEMA)
+    whole = [sorted(map(str, license_scan.template_labels(docs).collect()))]
+
+    def shipped():
+        plan = license_scan.template_labels(docs)._jdf.queryExecution().executedPlan().toString()
+        return [line for line in plan.splitlines() if "Exchange hashpartitioning(word" in line]
+
+    assert shipped() == []
+    monkeypatch.setattr(license_scan, "BROADCAST_POSTINGS", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert len(shipped()) == 2
+        whole.append(sorted(map(str, license_scan.template_labels(docs).collect())))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert whole[0] == whole[1] and len(whole[0]) == 1
+
+
 def test_repeated_rows_nulls_and_empty_table(spark):
     rows = [(None, TEXTS[0], "x", "y")] * 3 + [(1, None, None, None)]
     docs = spark.createDataFrame(rows, SCHEMA)
