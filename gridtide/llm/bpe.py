@@ -219,27 +219,27 @@ class CorpusEncoder:
     def _learn(self, parts: list[str]) -> None:
         split = [self._split(part) for part in parts]
         every = set().union(*split)
-        new = list(self._words.missing(every))
+        new = self._words.missing(every)
         known, made, numerals = self._words.now, self._parts.now, self._numerals
         known.update(zip(new, self.replay.encode([word.encode() for word in new])))
         for part, words in zip(parts, split):
             ids = known[words[0]] if len(words) == 1 else np.concatenate([known[w] for w in words])
             spelled = b" ".join([numerals[n] for n in ids.tolist()])
             made[part] = (ids.tobytes(), spelled)
-        self._words.forget_long(every)
+        self._words.forget_long(new)
 
     def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, bytes]]:
         """The ids of each text, and the ids as decimal numbers with single spaces between."""
         split = [self._parts_of(text) for text in texts]
-        every = set().union(*split)
+        new = self._parts.missing(set().union(*split))
         with no_cycle_search():
-            self._learn(list(self._parts.missing(every)))
+            self._learn(list(new))
         known, encoded = self._parts.now, []
         for parts in split:
             found = [known[part] for part in parts]
             ids = np.frombuffer(b"".join([f[0] for f in found]), np.int32)
             encoded.append((ids, b" ".join([f[1] for f in found])))
-        self._parts.forget_long(every)
+        self._parts.forget_long(new)
         return encoded
 
 

@@ -72,9 +72,11 @@ class Recent:
         if len(self.now) > self._limit:
             self.now, self._before = {}, self.now
         new = keys.difference(self.now)
-        back = new.intersection(self._before)
-        self.now.update((key, self._before[key]) for key in back)
-        return new - back
+        if self._before and new:
+            back = new.intersection(self._before)
+            self.now.update([(key, self._before[key]) for key in back])
+            new -= back
+        return new
 
     def forget_long(self, keys: set) -> None:
         """Let go what was made for one call only."""

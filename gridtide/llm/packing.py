@@ -41,10 +41,10 @@ from gridtide.llm.common import Recent, kept_by_worker, no_cycle_search, slices
 TIERS = (256, 512, 1024, 2048)
 END_ID = 1
 ID_BYTES = 4
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 # Twice so many entries at most, none of a longer key: about 200 bytes each.
-KEPT_PARTS = 200_000
-KEPT_WORDS = 100_000
+KEPT_PARTS = 500_000
+KEPT_WORDS = 300_000
 LONGEST_KEPT = 64
 
 SCHEMA = (
@@ -132,13 +132,14 @@ class WordTokenizer:
             else:
                 other.append((part, text))
         words = {word for split in plain.values() for word in split}
-        self._learn_words(list(self._words.missing(words)))
+        new = self._words.missing(words)
+        self._learn_words(list(new))
         known, made = self._words.now, self._parts.now
         for part, split in plain.items():
             made[part] = b"".join([known[word] for word in split])
         for (part, _), ids in zip(other, self._ids([text for _, text in other])):
             made[part] = struct.pack(f"<{len(ids)}I", *ids)
-        self._words.forget_long(words)
+        self._words.forget_long(new)
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         if not self._by_words:
@@ -151,7 +152,7 @@ class WordTokenizer:
                 self._learn(new)
         parts = self._parts.now
         encoded = [b"".join([parts[w] for w in words]) for words in split]
-        self._parts.forget_long(every)
+        self._parts.forget_long(new)
         return iter(encoded)
 
 
