@@ -41,11 +41,13 @@ from gridtide.llm.common import Recent, kept_by_worker, no_cycle_search, slices
 TIERS = (256, 512, 1024, 2048)
 END_ID = 1
 ID_BYTES = 4
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 # Twice so many entries at most, none of a longer key: about 200 bytes each.
-KEPT_PARTS = 200_000
-KEPT_WORDS = 100_000
+KEPT_PARTS = 500_000
+KEPT_WORDS = 300_000
 LONGEST_KEPT = 64
+# For executors that other stages have filled: parts, words and bytes of a slice.
+SMALL_CACHES = (200_000, 100_000, 2 << 20)
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,"
@@ -72,7 +74,7 @@ class WordTokenizer:
         {"type": "Lowercase"},
     ]
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, kept_parts: int | None = None, kept_words: int | None = None) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
@@ -83,8 +85,8 @@ class WordTokenizer:
         size = self._tokenizer.get_vocab_size()
         tokens = [self._tokenizer.id_to_token(n) or "" for n in range(size)]
         self._ends = [token.endswith(self.WORD_END) for token in tokens]
-        self._parts = Recent(KEPT_PARTS, LONGEST_KEPT)
-        self._words = Recent(KEPT_WORDS, LONGEST_KEPT)
+        self._parts = Recent(kept_parts or KEPT_PARTS, LONGEST_KEPT)
+        self._words = Recent(kept_words or KEPT_WORDS, LONGEST_KEPT)
         # Code points whose case and kind no library disagrees about, and the split into words.
         self._plain = re.compile("[!-~\u00a1-\u012f\u0131-\u024f]+").fullmatch
         self._split = regex.compile(pattern or "").findall
@@ -106,9 +108,9 @@ class WordTokenizer:
         return steps[0]["pattern"].get("Regex") if by_words else None
 
     @classmethod
-    def of_worker(cls, path: str) -> WordTokenizer:
-        kept = kept_by_worker("packing")
-        return kept.get(("tokenizer", path)) or kept.setdefault(("tokenizer", path), cls(path))
+    def of_worker(cls, path: str, *sizes: int) -> WordTokenizer:
+        kept, key = kept_by_worker("packing"), ("tokenizer", path, *sizes)
+        return kept.get(key) or kept.setdefault(key, cls(path, *sizes))
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -268,11 +270,11 @@ def step_groups(
         number += groups
 
 
-def _packed(path: str, tiers: tuple[int, ...], pool_tokens: int, group_tokens: int):
+def _packed(path: str, tiers: tuple[int, ...], pool_tokens: int, group_tokens: int, caches: tuple[int, int, int]):
     names = [x.split()[0] for x in SCHEMA.split(", ")]
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, packer = WordTokenizer.of_worker(path), TierPacker(tiers)
+        tokenizer, packer = WordTokenizer.of_worker(path, *caches[:2]), TierPacker(tiers)
         first = TaskContext.get().partitionId() << 40
         sequences, groups = first, first
 
@@ -297,7 +299,7 @@ def _packed(path: str, tiers: tuple[int, ...], pool_tokens: int, group_tokens: i
         end = END_ID.to_bytes(ID_BYTES, "little")
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for start, count in slices(texts, SLICE_BYTES):
+            for start, count in slices(texts, caches[2]):
                 some = tokenizer.encode(texts.slice(start, count).to_pylist())
                 for doc_id, encoded in zip(ids[start : start + count], some):
                     packer.add((doc_id, len(encoded) // ID_BYTES + 1), encoded + end)
@@ -314,13 +316,14 @@ def pack_documents(
     tiers: tuple[int, ...] = TIERS,
     pool_tokens: int = 1 << 20,
     group_tokens: int = 1 << 15,
+    caches: tuple[int, int, int] = (KEPT_PARTS, KEPT_WORDS, SLICE_BYTES),
 ) -> DataFrame:
     """A row per piece: document, place in it, window (sequence), place there, tier, step group.
 
     ``docs`` has ``doc_id`` and ``text``; its other columns are not read.  The
-    tiers are powers of two.
+    tiers are powers of two.  ``caches`` trades memory for time; rows do not depend on it.
     """
     if any(t & (t - 1) for t in tiers):
         raise ValueError("tiers are powers of two")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-    return rows.mapInArrow(_packed(tokenizer_path, tiers, pool_tokens, group_tokens), SCHEMA)
+    return rows.mapInArrow(_packed(tokenizer_path, tiers, pool_tokens, group_tokens, caches), SCHEMA)
