@@ -67,7 +67,8 @@ def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept documents as pieces of context windows."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(docs, path, caches=packing.SMALL_CACHES)
 
 
 STAGES = [
