@@ -47,7 +47,7 @@ KEPT_PARTS = 500_000
 KEPT_WORDS = 300_000
 LONGEST_KEPT = 64
 # For executors that other stages have filled: parts, words and bytes of a slice.
-SMALL_CACHES = (200_000, 100_000, 2 << 20)
+SMALL_CACHES = (100_000, 50_000, 1 << 20)
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,"

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
+
+import pyarrow as pa
 import pytest
+from conftest import ROOT
 from test_quality import brute as base_counts
 
 import corpus_pipeline
@@ -127,3 +132,54 @@ def test_one_of_each_group_of_five_words_stays(stages):
                 x, y = sorted((top(a), top(b)))
                 root[y] = x
     assert set(after.index) == {n for n in sets if root[n] == n}
+
+
+@pytest.mark.parametrize("stage", [stage for _, stage in corpus_pipeline.STAGES])
+def test_each_stage_asks_for_batches_of_bounded_bytes(spark, stage):
+    """12 MB of texts in one partition go to Python workers in pieces of 2 MB and a text."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["bytes"])
+
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting, None)
+    docs = spark.range(120, numPartitions=1).selectExpr(
+        "id AS doc_id", "repeat('word ', 20000) AS text", "'en' AS lang", "'s' AS source", "1L AS n_chars"
+    )
+    try:
+        spark.conf.unset(setting)
+        stage(spark, docs.limit(0), SF_DIR)
+        found = [r.bytes for r in docs.mapInArrow(sizes, "bytes long").collect()]
+        assert sum(found) > 12_000_000 and max(found) <= (2 << 20) + 200_000
+        spark.conf.set(setting, "1m")  # a session's own size stays
+        stage(spark, docs.limit(0), SF_DIR)
+        assert spark.conf.get(setting) == "1m"
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+
+
+WORKER = """
+import os, sys
+from gridtide.llm.common import kept_by_worker
+
+def resident():
+    with open("/proc/self/statm") as f:
+        return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE") >> 20
+
+kept_by_worker("first")
+empty = resident()
+kept_by_worker("first")["parts"] = [bytes(2000) for _ in range(60_000)]
+last = bytes(2000)  # stands behind them, so the heap cannot shrink from its end
+full = resident()
+kept_by_worker("second")
+print(full - empty, resident() - empty)
+"""
+
+
+@pytest.mark.skipif(sys.platform != "linux", reason="reads /proc")
+def test_a_worker_returns_the_memory_of_other_stages():
+    command, path = [sys.executable, "-c", WORKER], {"PYTHONPATH": str(ROOT)}
+    made = subprocess.run(command, capture_output=True, text=True, check=True, env=path)
+    full, left = map(int, made.stdout.split())
+    assert full > 100 and left < 20
