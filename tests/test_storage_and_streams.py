@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridtide.catalog import inputs
+from gridtide.catalog.queries import QUERIES
 from gridtide.operators.clean import clean_market
 from gridtide.plans import rebuild
 from gridtide.reference_data import EVERY_DATASET, MARKET_DATASETS
@@ -357,3 +359,62 @@ def test_facts_grow_with_the_tables(spark):
     small, large = rows("0.001"), rows("0.01")
     assert all(9 < b / a < 11 for a, b in zip(small, large))
     assert large[0] < 0.95 * large[3]
+
+
+def stored_bytes(path, suffix):
+    return sum(file.stat().st_size for file in path.rglob(f"*{suffix}"))
+
+
+def test_landed_lines_are_compressed_and_read_back(spark, tmp_path):
+    lines = market_records(spark, {}).crossJoin(spark.range(2000)).drop("id")
+    json_lines.write_lines(lines, str(tmp_path / "landed"), compression=json_lines.LINE_COMPRESSION)
+    plain = lines.select(F.to_json(F.struct(*lines.columns)).alias("line"))
+    whole = plain.agg(F.sum(F.length("line"))).first()[0]
+    assert 0 < stored_bytes(tmp_path / "landed", ".json.gz") < whole / 20
+    back = json_lines.readable(json_lines.read_lines(spark, str(tmp_path / "landed"), MARKET_RECORD))
+    assert len(back.select("status").collect()) == lines.count()
+
+
+def test_shuffles_of_a_write_are_gone_when_it_ends(spark, tmp_path, monkeypatch):
+    setting = storage._FREE_SHUFFLES
+    before = spark.conf.get(setting, None)
+    spark.conf.unset(setting)
+    try:
+        rows = spark.range(1000).selectExpr("id", "CAST(DATE'2024-01-01' AS STRING) AS event_date")
+        storage.append_partitioned(rows, str(tmp_path / "table"), ["event_date"])
+        assert spark.conf.get(setting) == "true"
+        spark.conf.set(setting, "false")  # the session's own choice stays
+        storage.append_partitioned(rows, str(tmp_path / "table"), ["event_date"])
+        assert spark.conf.get(setting) == "false"
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+
+
+def test_gathered_readings_are_the_same_and_need_no_wide_shuffle(spark, sf_dir, tmp_path):
+    for made in (inputs.clean_readings, inputs.market_records):
+        plain, gathered = made(spark, sf_dir), made(spark, sf_dir, gathered=True)
+        assert gathered.schema == plain.schema
+        assert gathered.exceptAll(plain).isEmpty() and plain.exceptAll(gathered).isEmpty()
+    readings = inputs.clean_readings(spark, sf_dir, gathered=True)
+    storage.append_partitioned(readings, str(tmp_path / "clean"), ["event_date", "dataset"], laid_out=True)
+    back = storage.read_table(spark, str(tmp_path / "clean"), MARKET_CLEAN)
+    assert back.count() == readings.where("event_date IS NOT NULL").count()
+
+
+def test_rounds_cover_every_value_in_bounded_groups(spark, monkeypatch):
+    days = [("a", 3), ("b", 2), ("c", 9), ("d", 1), ("e", 1), (None, 4)]
+    rows = spark.createDataFrame([(day,) for day, n in days for _ in range(n)], "event_date string")
+    monkeypatch.setattr(storage, "ROWS_AT_ONCE", 5)
+    assert storage.rounds(rows) == [("a", "b"), ("c", "c"), ("d", "e")]
+    assert storage.rounds(rows.where("event_date = 'x'")) == []
+
+
+def test_rebuild_and_compaction_in_rounds_give_the_same(spark, sf_dir, tmp_path, monkeypatch):
+    found = {}
+    for limit in (4_000_000, 1000):
+        monkeypatch.setattr(storage, "ROWS_AT_ONCE", limit)
+        for name in ("backfill_years", "clean_compacted"):
+            rows = QUERIES[name](spark, sf_dir).collect()
+            found.setdefault(name, []).append(sorted(map(str, rows)))
+    for one, many in found.values():
+        assert one and one == many
